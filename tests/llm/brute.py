@@ -36,3 +36,19 @@ def pii(text: str | None) -> tuple[list[int], str]:
         counts.append(n)
     joined = ",".join(f"{kind}:{s}:{e}" for s, _, e, kind in sorted(spans))
     return counts, hashlib.sha256(joined.encode()).hexdigest()
+
+
+LICENSES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+
+
+def licenses(text: str | None) -> tuple:
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    places, labels = [], set()
+    for phrase, label in LICENSES.items():
+        p = phrase.split()
+        for i in range(len(words) - len(p) + 1):
+            if words[i : i + len(p)] == p:
+                places.append(i)
+                labels.add(label)
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
