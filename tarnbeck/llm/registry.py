@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["simhash", "packing", "pii", "licenses", "orderhash", "langid", "htmltree", "warc", "substring"]
+MODULES = ["simhash", "packing", "pii", "licenses", "orderhash", "langid", "htmltree", "warc", "substring", "decontaminate"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
