@@ -8,14 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnbeck.llm import simhash
+from tarnbeck.llm import decontaminate, langid, packing, pii, simhash
 from tarnbeck.llm.common import materialise, table
 
 STAGES = [
+    ("language_id", langid.keep_identified),
     ("near_dedup", simhash.keep_one),
+    ("decontamination", decontaminate.keep_clean),
+    ("pii_redaction", pii.redact_stage),
+    ("packing", packing.pack_stage),
 ]
 
-#: No stage but the redaction is expressible in SQL; tests hold the rows against brute force.
+#: The stages learn models, hash and tokenise, which SQL cannot express; tests hold their rows against brute force.
 ORACLE_SQL = None
 
 
