@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["analytics"]
+MODULES = ["analytics", "relational", "texts", "ranking"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
