@@ -47,7 +47,7 @@ def age(birth: Column, on: Column) -> Column:
 
 def after_seconds(ns: Column, seconds: Column) -> Column:
     """Nanoseconds later than seconds."""
-    return ns > seconds * 1_000_000_000
+    return ns > seconds.cast("long") * 1_000_000_000
 
 
 def human_duration(seconds: Column) -> Column:

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["analytics", "relational", "texts", "ranking"]
+MODULES = ["analytics", "relational", "texts", "ranking", "streams"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -109,7 +109,7 @@ def ft31_template(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", T.fill_rag("Use {{CONTEXT}} for [query].", F.concat("source", F.lit(" {{QUERY}}")), F.col("lang")).alias("filled"))
 
 
-@query("select doc_id, case when at > 0 then (case when at - 1 > 50 then '...' else '' end) || substring(text, greatest(at - 1 - 50, 0) + 1, least(length(text), at - 1 + 5 + 100) - greatest(at - 1 - 50, 0)) || (case when least(length(text), at - 1 + 5 + 100) < length(text) then '...' else '' end) else left(text, 150) || (case when length(text) > 150 then '...' else '' end) end snippet from (select *, instr(lower(text), 'thing') at from documents) where lang = 'en'")
+@query("select doc_id, case when hit > 0 then (case when hit - 1 > 50 then '...' else '' end) || substring(text, greatest(hit - 1 - 50, 0) + 1, least(length(text), hit - 1 + 5 + 100) - greatest(hit - 1 - 50, 0)) || (case when least(length(text), hit - 1 + 5 + 100) < length(text) then '...' else '' end) else left(text, 150) || (case when length(text) > 150 then '...' else '' end) end snippet from (select *, instr(lower(text), 'thing') hit from documents) where lang = 'en'")
 def ft32_snippet(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).where("lang = 'en'").select("doc_id", T.snippet(F.col("text"), "Thing").alias("snippet"))
 
@@ -231,12 +231,12 @@ def fd3_slots(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", D.day(t).alias("day"), D.hour(t).alias("hour"))
 
 
-@query("select epoch(to_timestamp(1706000000) at time zone 'UTC' - interval 10 day)::bigint days, epoch(timestamp '2023-11-23 08:53:20')::bigint months")
+@query("select epoch(to_timestamp(1706000000) at time zone 'UTC' - interval 10 day)::bigint \"days\", epoch(timestamp '2023-11-23 08:53:20')::bigint \"months\"")
 def fd4_ago(spark: SparkSession, d: str) -> DataFrame:
     return spark.range(1).select(D.ago(1706000000, days=3, weeks=1).alias("days"), D.ago(1706000000, months=2).alias("months"))
 
 
-@query("select n_nationkey, case when n_nationkey = 0 then null else n_nationkey * 3600 + 90.5 end seconds from nation")
+@query("select n_nationkey, case when n_nationkey = 0 then null else n_nationkey * 3600 + 90.5 end \"seconds\" from nation")
 def fd5_duration(spark: SparkSession, d: str) -> DataFrame:
     text = F.when(F.col("n_nationkey") == 0, "-1").otherwise(F.concat(F.col("n_nationkey").cast("string"), F.lit("h1m30s500ms")))
     return table(spark, d, "nation").select("n_nationkey", D.duration_seconds(text).alias("seconds"))
@@ -247,7 +247,7 @@ def fd6_age(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", D.age(F.to_date("o_orderdate"), F.to_date(F.lit("2024-02-28"))).cast("long").alias("age"))
 
 
-@query("select event_id, event_id * 1000000000 > 500 * 1000000000 later, (event_id // 3600) || 'h' || (event_id % 3600 // 60) || 'm' || (event_id % 60) || 's' human, case when event_id % 3 = 0 then 'N/A' else printf('%.2f', event_id / 2.0) end rate from events")
+@query("select event_id, event_id * 1000000000 > 500000000000 later, (event_id // 3600) || 'h' || (event_id % 3600 // 60) || 'm' || (event_id % 60) || 's' human, case when event_id % 3 = 0 then 'N/A' else printf('%.2f', event_id / 2.0) end rate from events")
 def fd7_fd8_durations(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("event_id")
     return table(spark, d, "events").select("event_id", D.after_seconds(n * 1_000_000_000, F.lit(500)).alias("later"), D.human_duration(n).alias("human"), D.rate(n, F.when(n % 3 == 0, 0).otherwise(2_000_000_000)).alias("rate"))
