@@ -133,7 +133,7 @@ class Ivf:
         near = F.array(*(F.struct((-dot(v, F.array(*(F.lit(x) for x in c)))).alias("d"), F.lit(j).alias("j")) for j, c in enumerate(self.centres)))
         return F.transform(F.slice(F.array_sort(near), 1, n), lambda s: s["j"])
 
-    def search(self, queries: DataFrame, k: int, probes: int = 4) -> DataFrame:
+    def search(self, queries: DataFrame, k: int, probes: int = 12) -> DataFrame:
         probed = queries.select("qid", "qvec", F.explode(self._cells(F.col("qvec"), probes)).alias("cell"))
         scored = self.items.join(probed, "cell").select("qid", self.key, ((cosine(F.col(self.vector), F.col("qvec")) + 1) / 2).alias("score"))
         return scored.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), self.key))).where(F.col("rank") <= k)

@@ -69,7 +69,7 @@ def x06_filtered_get(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def x07_ivf_search(spark: SparkSession, d: str) -> DataFrame:
-    return R.Ivf(items(spark, d), cells=16).search(vector_queries(spark, d), 10, probes=8)
+    return R.Ivf(items(spark, d), cells=16).search(vector_queries(spark, d), 10, probes=12)
 
 
 _BM25 = """with words as (select doc_id id, list_filter(regexp_split_to_array(text, '\\s+'), lambda t: t <> '') t from documents), facts as (select count(*) n, avg(len(t)) m from words),
