@@ -269,7 +269,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage: documents that hold a benchmark item go; rows without a doc_id are judged by their doc_id being unknown, and stay."""
     gone = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked_id")).where("leaked_id IS NOT NULL").distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("leaked_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["leaked_id"], "left_anti")
 
 
 QUERIES = {"op6_decontaminate": op6_decontaminate}

@@ -105,7 +105,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage: the document that names each component stays, of repeated rows of it all that are alike; rows without a doc_id stay."""
     keep = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.where("doc_id IS NULL").unionByName(docs.join(keep, F.col("doc_id") == F.col("kept_id"), "left_semi"))
+    return docs.where("doc_id IS NULL").unionByName(docs.join(keep, docs["doc_id"] == keep["kept_id"], "left_semi"))
 
 
 QUERIES = {"op4_simhash": op4_simhash}
