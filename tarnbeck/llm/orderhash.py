@@ -71,7 +71,9 @@ def following(ids: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # A needless cast would leave an alias on one side of a self-join alone, and the two sides' exchanges would differ.
+    doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    return docs.select(doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
 def sign(docs: DataFrame) -> DataFrame:
