@@ -190,3 +190,21 @@ def first_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
     """The first row of each key by source order, with the sources of all in `sources`."""
     first = F.min_by(F.struct(*(c for c in rows.columns if c != key)), order)
     return rows.groupBy(key).agg(first.alias("first"), F.array_sort(F.collect_list(order)).alias("sources")).select(key, "first.*", "sources")
+
+
+def relevance(feedback: DataFrame, tag_vectors: DataFrame, query: list[float]) -> DataFrame:
+    """(id, weight): the largest cosine of the query with any of a feedback's tags, 0 without tags."""
+    from tarnbeck.functions.vectors import cosine
+
+    q = F.array(*(F.lit(float(x)) for x in query))
+    near = tag_vectors.select("tag", cosine(F.col("embedding"), q, 1e-9).alias("c"))
+    best = feedback.select("id", F.explode("tags").alias("tag")).join(near, "tag").groupBy("id").agg(F.max("c").alias("weight"))
+    return feedback.select("id").join(best, "id", "left").select("id", F.coalesce("weight", F.lit(0.0)).alias("weight"))
+
+
+def export_stats(messages: DataFrame) -> DataFrame:
+    """By message: length of its content over text blocks, seconds since its parent where both times are set."""
+    length = F.aggregate("blocks", F.lit(0), lambda n, b: n + F.when(b["type"] == "text", F.length(b["text"])).otherwise(0))
+    asked = messages.select(F.col("chat_id").alias("c"), F.col("id").alias("p"), F.col("created_at").alias("asked_at"))
+    both = messages.join(asked, (F.col("chat_id") == F.col("c")) & (F.col("parent_id") == F.col("p")), "left")
+    return both.select("chat_id", "id", "role", length.alias("content_length"), F.when((F.col("created_at") > 0) & (F.col("asked_at") > 0), F.col("created_at") - F.col("asked_at")).alias("response_time"))

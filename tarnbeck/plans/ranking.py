@@ -169,3 +169,33 @@ def fm6_fm7_formulas(spark: SparkSession, d: str) -> DataFrame:
     from tarnbeck.operators.analytics import expected
 
     return table(spark, d, "nation").select("n_nationkey", V.backoff(F.col("n_regionkey"), 2.0).alias("wait"), F.round(expected(F.lit(100.0), F.col("n_nationkey") * 10), 9).alias("expected"))
+
+
+@query("select f.id, round(coalesce(max(c), 0), 6) weight from (select l.doc_id id, [lang, source] tags from labels l join documents d on l.doc_id = d.doc_id) f left join (select 'src' || vec_id tag, list_cosine_similarity(embedding::double[], (select embedding::double[] from embeddings where vec_id = 3)) c from embeddings where vec_id < 20) t on list_contains(f.tags, t.tag) group by 1")
+def a17_relevance(spark: SparkSession, d: str) -> DataFrame:
+    from tarnbeck.operators.analytics import relevance
+
+    f = table(spark, d, "labels").join(table(spark, d, "documents"), "doc_id").select(F.col("doc_id").alias("id"), F.array("lang", "source").alias("tags"))
+    tags = table(spark, d, "embeddings").where("vec_id < 20").select(F.concat(F.lit("src"), F.col("vec_id").cast("string")).alias("tag"), "embedding")
+    q = items(spark, d).where("id = 3").first().embedding
+    return relevance(f, tags, q).withColumn("weight", F.round("weight", 6))
+
+
+@query("select m.conv_id chat_id, m.turn id, m.role, 2 * length(m.text) content_length, case when m.turn > 0 then 14 * m.turn - 7 end::bigint response_time from conversations m")
+def a22_export_stats(spark: SparkSession, d: str) -> DataFrame:
+    from tarnbeck.operators.analytics import export_stats
+    from tarnbeck.plans.views import turns
+
+    block = lambda kind: F.struct(F.lit(kind).alias("type"), F.col("content").alias("text"))
+    return export_stats(turns(spark, d).withColumn("blocks", F.array(block("text"), block("image"), block("text")))).select("chat_id", "id", "role", F.col("content_length").cast("long").alias("content_length"), "response_time")
+
+
+@query("select doc_id, round(10 * 0.5 + case when n < 20 then 0.0 else 0.0 end + case when doc_id % 9 = 0 then -3.0 else 0.0 end, 6) reward from (select doc_id, 0 n from documents)")
+def x24_reward(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", F.round(V.reward(F.lit(0.5), F.lit(0.0), F.col("doc_id") % 9 == 0), 6).alias("reward"))
+
+
+@query("select d.doc_id, e.n from documents d join (select text, length(text) n from (select distinct text from documents)) e on d.text = e.text")
+def j19_embed_once(spark: SparkSession, d: str) -> DataFrame:
+    found = R.embed(table(spark, d, "documents").select("doc_id", F.regexp_replace("text", r"\n", " ").alias("text")), lambda c: c.map(lambda t: [float(len(t))]))
+    return found.select("doc_id", found["embedding"][0].cast("long").alias("n"))

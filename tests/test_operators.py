@@ -163,3 +163,45 @@ def test_inbox(spark, tmp_path):
     q = rows.writeStream.foreachBatch(lambda b, _: got.extend(windows.answer(b, lambda c: c.str.upper() if isinstance(c, pd.Series) else c).collect())).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted((r.result, r.error) for r in got if r.error is None) == [("A", None)] and [r.error for r in got if r.error] == ["bad request"]
+
+
+def test_vector_store(spark, tmp_path):
+    from tarnbeck.operators.store import VectorStore
+
+    store = VectorStore(spark, str(tmp_path / "store"), 2)
+    rows = lambda *xs: spark.createDataFrame([(i, t, v, m) for i, t, v, m in xs], "id string, text string, embedding array<float>, metadata map<string,string>")
+    store.insert("c", rows(("a", "A", [1.0, 0.0], {"k": "1"}), ("b", "B", [0.0, 1.0], {"k": "2"})))
+    store.insert("c", rows(("a", "other", [1.0, 0.0], {})))
+    store.upsert("c", rows(("b", "B2", [0.6, 0.8], {"k": "2"})))
+    assert {r.id: r.text for r in store.all("c").collect()} == {"a": "A", "b": "B2"}
+    assert [r.id for r in store.query("c", {"k": {"$in": ["2"]}}, 5).collect()] == ["b"]
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "qid int, qvec array<float>")
+    assert [(r.id, round(r.score, 3)) for r in store.search("c", queries, 2).orderBy("rank").collect()] == [("a", 1.0), ("b", 0.8)]
+    store.delete("c", spec={"k": 1})
+    assert [r.id for r in store.get("c").collect()] == ["b"] and store.has("c")
+    store.drop("c")
+    assert not store.has("c") and store.all("c").count() == 0
+
+
+def test_attach(spark):
+    from tarnbeck.operators.store import attach
+
+    items = spark.createDataFrame([(1, "text", "hi"), (2, "file", "f1"), (3, "collection", "c"), (4, "file", "f9")], "item int, type string, ref string")
+    docs = spark.createDataFrame([("f1", "F1"), ("f2", "F2"), ("f9", "F9")], "id string, text string")
+    held = spark.createDataFrame([("c", "f1"), ("c", "f2")], "collection string, id string")
+    may = spark.createDataFrame([("f1",), ("f2",)], "id string")
+    assert sorted(map(tuple, attach(items, docs, held, may).collect())) == [(1, "1", "hi"), (2, "f1", "F1"), (3, "f2", "F2")]
+
+
+def test_plugins(spark):
+    from tarnbeck.operators import plugins as U
+
+    add = lambda suffix: lambda df, v: df.withColumn("t", F.concat("t", F.lit(suffix + str(v.options.get("x", "")))))
+    filters = [U.Filter("b", U.Valves(1), inlet=add("b")), U.Filter("a", U.Valves(1, {"x": 1}), inlet=add("a"), everywhere=True), U.Filter("z", U.Valves(0), inlet=add("z")), U.Filter("off", inlet=add("off"), everywhere=True, active=False)]
+    df = spark.createDataFrame([("",)], "t string")
+    assert U.run(df, U.chosen(filters, {"b", "z"}), "inlet", {"a": {"x": 2}}).first().t == "za2b"
+    models = [U.Model("up", lambda c: c.str.upper()), U.Model("rev", lambda c: c.str[::-1])]
+    rows = spark.createDataFrame([("up", "ab"), ("rev", "ab"), ("no", "ab")], "model string, p string")
+    assert [r.reply for r in U.route(rows, models, "model", "p").collect()] == ["AB", "ba", None]
+    tool = U.Tool("f", lambda n: spark.range(n), {"n": "integer"})
+    assert tool(n=3).count() == 3 and tool.spec()["parameters"]["required"] == ["n"]
