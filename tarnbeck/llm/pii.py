@@ -232,7 +232,7 @@ def redact_text() -> Column:
 def redact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage: all documents, personal data replaced in their texts and n_chars counted anew; a null text stays null."""
     text = F.when(F.col("carried.text").isNotNull(), redact_text())
-    new = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    new = {"text": text} | ({"n_chars": F.coalesce(F.length(text), F.col("carried.n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return find(docs, carry=True).select(*(new.get(c, F.col("carried").getField(c)).alias(c) for c in docs.columns))
 
 
