@@ -4,15 +4,15 @@ Words are hashed to BUCKETS terms. One pass counts in how many documents each te
 matrix A of all passages (rows of unit length) and sums A'(AW) for a random W, from which the driver gets the leading
 right singular vectors and values: a randomised SVD whose only gathered data are BUCKETS x RANK numbers, whatever the
 corpus holds. In the third pass all overlapping passages are projected, whitened by the singular values, and held by
-cosine against the benchmark's passages, a block of them at a time. Each candidate is then verified on the words
-around it: the longest common subsequence must cover most of the item, or a fair part of it with the item's answer,
-its last words, standing whole beside it, which is how paraphrases show.
+cosine against the benchmark's passages, a block of them at a time. Each candidate is then held to the cosine of the
+TF-IDF vectors themselves, and verified on the words around it: the longest common subsequence must cover most of the
+item, or a fair part of it with the item's answer, its last words, standing whole beside it, which is how paraphrases
+show.
 """
 
 from __future__ import annotations
 
 import functools
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,53 +23,86 @@ from pyspark.sql import functions as F
 
 from tarnbeck.llm.common import materialise, table
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 13
 RANK = 64
 #: A passage is two blocks; passages overlap by one.
 BLOCK = 16
-COSINE = 0.38
+COSINE = 0.32
+#: Least cosine of the TF-IDF vectors themselves, which candidates are held to before their words are read.
+EXACT = 0.35
 #: Share of an item's words in the common subsequence: alone, and with its answer.
 COVER, COVER_ANSWERED = 0.75, 0.6
 ANSWER_WORDS = 5
 #: Items of fewer words say too little to be told from chance and are not sought.
 ITEM_WORDS = 8
+#: Terms in more documents than this share of all and COMMON_DOCS more weigh nothing: they tell languages apart, not texts.
+COMMON_SHARE, COMMON_DOCS = 0.2, 50
 QUERY_WORDS = 48
 #: Benchmark passages that one pass holds.
 QUERY_BLOCK = 2000
-SLICE = 1 << 16
-CACHE = 300_000
+#: Bytes, and terms, that are worked on at a time.
+SLICE = 1 << 13
 _EDGE = ".,;:!?\"'()[]{}%$#&*|"
-_buckets: dict[str, int] = {}
+_SPACE = frozenset(b" \t\n\r\x0b\x0c")
+#: Of each byte: a random odd number, 0 for what parts words or stands at their ends; upper case as lower.
+_LETTER = np.random.default_rng(5).integers(1 << 62, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LETTER[65:91] = _LETTER[97:123]
+_LETTER[[*_SPACE, *_EDGE.encode()]] = 0
+_BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
 
 def words(text: str | None) -> list[str]:
     return [w for w in (x.strip(_EDGE) for x in (text or "").lower().split()) if w]
 
 
-def terms(found: list[str]) -> np.ndarray:
-    if len(_buckets) > CACHE:
-        _buckets.clear()
-    get = _buckets.get
-    out = []
-    for w in found:
-        if (b := get(w)) is None:
-            b = _buckets[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS
-        out.append(b)
-    return np.array(out, dtype=np.intp)
+@functools.cache
+def _powers(base: int) -> np.ndarray:
+    """base ** i modulo 2 ** 64 for SLICE exponents."""
+    out = np.full(SLICE, base, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
 
+def terms(text: str | None) -> np.ndarray:
+    """Bucket of each word in order. A word is what stands between white space and marks, in ASCII lower case.
 
-def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
+    Its hash is the sum of its letters' numbers times powers of a base, taken over all the text at once and divided by
+    the power at which the word begins.
+    """
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    found, at = [], 0
+    while at < len(raw):
+        part = raw[at : at + SLICE]
+        if at + SLICE < len(raw):
+            gaps = np.nonzero(_LETTER[part] == 0)[0]
+            part = part[: gaps[-1] + 1] if len(gaps) else part  # ends between words, unless one fills the slice
+        at += len(part)
+        letters = _LETTER[part]
+        inside = letters != 0
+        starts = np.nonzero(inside[1:] & ~inside[:-1])[0] + 1
+        if len(inside) and inside[0]:
+            starts = np.concatenate([[0], starts])
+        if len(starts):
+            h = np.add.reduceat(letters * _powers(_BASE)[: len(part)], starts) * _powers(_INVERSE)[starts]
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            found.append((h >> np.uint64(64 - (BUCKETS - 1).bit_length())).astype(np.intp))
+    return np.concatenate(found) if found else np.zeros(0, dtype=np.intp)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
             part = batch.slice(at, 200)
-            yield part, [words(x.as_py()) for x in part.column(column)]
+            yield part, [terms(x.as_py()) for x in part.column(column)]
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(BUCKETS + 1, dtype=np.int64)
     for _, found in _groups(batches, 0):
-        for doc in found:
-            counts[np.unique(terms(doc))] += 1
+        mark = np.zeros((len(found), BUCKETS), dtype=bool)
+        mark[np.repeat(np.arange(len(found)), [len(d) for d in found]), np.concatenate(found)] = True
+        counts[:BUCKETS] += mark.sum(axis=0)
         counts[BUCKETS] += len(found)
     at = np.nonzero(counts)[0]
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["term", "n"])
@@ -86,7 +119,8 @@ def frequencies(docs: DataFrame) -> np.ndarray:
     counts = np.zeros(BUCKETS + 1)
     for r in rows:
         counts[r.term] = r.n
-    return (np.log((1 + counts[BUCKETS]) / (1 + counts[:BUCKETS])) + 1).astype(np.float32)
+    n, df = counts[BUCKETS], counts[:BUCKETS]
+    return np.where(df > COMMON_SHARE * n + COMMON_DOCS, 0, np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
 
 def _cuts(sizes: list[int], block: int) -> np.ndarray:
@@ -105,9 +139,21 @@ def _slices(cuts: np.ndarray, total: int) -> Iterator[tuple[np.ndarray, int, int
 
 
 def sums(ids: np.ndarray, cuts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Of each block, the sum of its terms' rows."""
-    parts = [np.add.reduceat(np.take(weights, ids[a:b], axis=0), some - a, axis=0) for some, a, b in _slices(cuts, len(ids))]
-    return np.concatenate(parts) if parts else np.zeros((0, weights.shape[1]), dtype=weights.dtype)
+    """Of each block, the sum of its terms' rows; a block may be empty."""
+    out = np.zeros((len(cuts), weights.shape[1]), dtype=weights.dtype)
+    full = np.nonzero(np.diff(np.append(cuts, len(ids))))[0]
+    at = 0
+    for some, a, b in _slices(cuts[full], len(ids)):
+        out[full[at : at + len(some)]] = np.add.reduceat(np.take(weights, ids[a:b], axis=0), some - a, axis=0)
+        at += len(some)
+    return out
+
+
+def _weighty(ids: np.ndarray, cuts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms that weigh something, and where each block of all terms begins among them."""
+    kept = idf[ids] > 0
+    before = np.concatenate([[0], np.cumsum(kept)])
+    return ids[kept], before[cuts].astype(np.intp)
 
 
 def _random(rank: int = RANK) -> np.ndarray:
@@ -118,8 +164,8 @@ def _gram(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[pa.Rec
     scaled = idf[:, None] * _random()
     total = np.zeros((BUCKETS, RANK), dtype=np.float32)
     for _, found in _groups(batches, 0):
-        ids = terms([w for doc in found for w in doc])
-        for some, a, b in _slices(_cuts([len(d) for d in found], 2 * BLOCK), len(ids)):
+        ids, cuts = _weighty(np.concatenate(found), _cuts([len(d) for d in found], 2 * BLOCK), idf)
+        for some, a, b in _slices(np.unique(cuts[cuts < len(ids)]), len(ids)):
             own = ids[a:b]
             y = np.add.reduceat(np.take(scaled, own, axis=0), some - a, axis=0)
             y *= RANK / np.maximum((y * y).sum(axis=1, keepdims=True), 1e-12)
@@ -176,10 +222,10 @@ def common(item: list[str], region: list[str]) -> int:
 
 
 def holds(item: list[str], region: list[str]) -> tuple[float, bool]:
-    """Share of the item in the common subsequence, and whether its answer stands whole in the region."""
+    """Share of the item in the common subsequence, and whether its answer stands whole in the region, if the share is fair."""
+    share = common(item, region) / len(item)
     answer = item[-ANSWER_WORDS:]
-    answered = any(region[i : i + len(answer)] == answer for i in range(len(region) - len(answer) + 1))
-    return common(item, region) / len(item), answered
+    return share, share >= COVER_ANSWERED and any(region[i : i + len(answer)] == answer for i in range(len(region) - len(answer) + 1))
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -195,15 +241,23 @@ def queries_of(items: list[tuple[int, list[str]]]) -> list[tuple[int, list[str]]
     return out
 
 
-def _search(batches: Iterator[pa.RecordBatch], weights: np.ndarray, items: list[tuple[int, list[str]]]) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterator[pa.RecordBatch], weights: np.ndarray, idf: np.ndarray, items: list[tuple[int, list[str]]]) -> Iterator[pa.RecordBatch]:
     pieces = queries_of(items)
+    exact = np.zeros((len(pieces), BUCKETS), dtype=np.float32)
+    for k, (_, p) in enumerate(pieces):
+        np.add.at(exact[k], terms(" ".join(p)), 1)
+    exact *= idf
+    exact = _unit(exact)
+    width = np.arange(2 * BLOCK)
     owner = np.array([k for k, _ in pieces])
-    sought = _unit(np.stack([weights[terms(p)].sum(axis=0) for _, p in pieces])).T
+    sought = _unit(np.stack([weights[terms(" ".join(p))].sum(axis=0) for _, p in pieces])).T
     sets = [frozenset(w) for _, w in items]
     for part, found in _groups(batches, 1):
         sizes = [len(d) for d in found]
         cuts = _cuts(sizes, BLOCK)
-        block = sums(terms([w for doc in found for w in doc]), cuts, weights)
+        flat = np.concatenate(found)
+        block = sums(*_weighty(flat, cuts, idf), weights)
+        ends = np.cumsum(sizes)
         doc = np.repeat(np.arange(len(found)), [-(-n // BLOCK) for n in sizes])
         nth = np.arange(len(cuts)) - np.repeat(np.concatenate([[0], np.cumsum([-(-n // BLOCK) for n in sizes])[:-1]]).astype(int), [-(-n // BLOCK) for n in sizes])
         last = np.append(doc[1:] != doc[:-1], True) if len(doc) else np.zeros(0, dtype=bool)
@@ -212,16 +266,27 @@ def _search(batches: Iterator[pa.RecordBatch], weights: np.ndarray, items: list[
         near: dict[tuple[int, int], list[tuple[int, float]]] = defaultdict(list)
         for at in range(0, len(passage), 4096):
             cosine = _unit(passage[at : at + 4096]) @ sought
-            for p, q in zip(*np.nonzero(cosine >= COSINE), strict=True):
+            p, q = np.nonzero(cosine >= COSINE)
+            place = cuts[at + p][:, None] + width
+            there = place < ends[doc[at + p]][:, None]
+            own = flat[np.minimum(place, len(flat) - 1)]
+            mass = idf[own] * there
+            true = (exact[q[:, None], own] * mass).sum(axis=1) / np.maximum(np.sqrt((mass * mass).sum(axis=1)), 1e-12)
+            for p, q in zip(p[true >= EXACT], q[true >= EXACT], strict=True):
                 near[int(doc[at + p]), int(owner[q])].append((int(nth[at + p]), float(cosine[p, q])))
         rows = []
         ids = part.column(0).to_pylist()
+        spelt: dict[int, list[str]] = {}
         for (d, k), places in near.items():
             item_id, item = items[k]
             best = None
+            if d not in spelt:
+                spelt[d] = words(part.column(1)[d].as_py())
             for n, cosine in places:
-                a, b = max(0, n * BLOCK - len(item)), (n + 2) * BLOCK + len(item)
-                region = found[d][a:b]
+                # terms and words part differently within odd words, never by much: the stretch has room for that
+                at = n * BLOCK * len(spelt[d]) // max(1, sizes[d])
+                a, b = max(0, at - BLOCK - len(item)), at + 3 * BLOCK + len(item)
+                region = spelt[d][a:b]
                 if sum(w in sets[k] for w in region) < COVER_ANSWERED * len(item):
                     continue  # the common subsequence is no longer than that
                 share, answered = holds(item, region)
@@ -247,7 +312,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found, held, size = [], [], 0
 
     def search() -> None:
-        found.append(materialise(read.mapInArrow(functools.partial(_search, weights=weights, items=list(held)), schema), "leaks"))
+        found.append(materialise(read.mapInArrow(functools.partial(_search, weights=weights, idf=idf, items=list(held)), schema), "leaks"))
 
     for r in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
         item = words(r[1])
