@@ -44,9 +44,8 @@ QUERY_BLOCK = 2000
 SLICE = 1 << 13
 _EDGE = ".,;:!?\"'()[]{}%$#&*|"
 _SPACE = frozenset(b" \t\n\r\x0b\x0c")
-#: Of each byte: a random odd number, 0 for what parts words or stands at their ends; upper case as lower.
+#: Of each byte: a random odd number, 0 for what parts words or stands at their ends.
 _LETTER = np.random.default_rng(5).integers(1 << 62, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LETTER[65:91] = _LETTER[97:123]
 _LETTER[[*_SPACE, *_EDGE.encode()]] = 0
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
@@ -64,12 +63,12 @@ def _powers(base: int) -> np.ndarray:
 
 
 def terms(text: str | None) -> np.ndarray:
-    """Bucket of each word in order. A word is what stands between white space and marks, in ASCII lower case.
+    """Bucket of each word in order. A word is what stands between white space and marks, in lower case.
 
     Its hash is the sum of its letters' numbers times powers of a base, taken over all the text at once and divided by
     the power at which the word begins.
     """
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    raw = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), dtype=np.uint8)
     found, at = [], 0
     while at < len(raw):
         part = raw[at : at + SLICE]
