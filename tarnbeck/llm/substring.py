@@ -204,11 +204,14 @@ def links(docs: DataFrame, units: DataFrame) -> DataFrame:
     rest = met.where("mark != hub").join(linked, ["hub", "mark"], "left_anti").select("band", "mark")
     drawn = texts.select("mark", *parts)
     left = rest.join(drawn, "mark").select("band", F.col("mark").alias("a"), *(F.col(c).alias(f"a{c}") for c in parts))
-    right = met.where("mark != hub").join(drawn, "mark").select(F.col("band").alias("b2"), F.col("mark").alias("b"), *(F.col(c).alias(f"b{c}") for c in parts))
+    # Where both of a pair are among the rest, it comes from the lesser one alone.
+    again = rest.select(F.col("band").alias("rb"), F.col("mark").alias("rm"))
+    right = met.where("mark != hub").join(again, (F.col("band") == F.col("rb")) & (F.col("mark") == F.col("rm")), "left").withColumn("late", F.col("rm").isNotNull())
+    right = right.join(drawn, "mark").select(F.col("band").alias("b2"), F.col("mark").alias("b"), "late", *(F.col(c).alias(f"b{c}") for c in parts))
     apart = F.lit(0)
     for c in parts:
         apart = apart + F.bit_count(F.col(f"a{c}").bitwiseXOR(F.col(f"b{c}")))
-    more = left.join(right, (F.col("band") == F.col("b2")) & (F.col("a") != F.col("b")) & (apart <= SKETCH_DIFFERENT))
+    more = left.join(right, (F.col("band") == F.col("b2")) & (F.col("a") != F.col("b")) & (~F.col("late") | (F.col("a") < F.col("b"))) & (apart <= SKETCH_DIFFERENT))
     return found.unionByName(_verified(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts))
 
 
