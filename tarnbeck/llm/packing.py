@@ -45,7 +45,8 @@ class _Encoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Texts with one of these get its id for it, which words alone would not.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {}
         self._letters = _byte_letters()
@@ -82,7 +83,8 @@ def token_ids(texts: list[str | None], path: str = TOKENIZER) -> list[bytes]:
 
     The tokenizer's own pattern never joins a word with what precedes the white space before it, nor looks beyond the
     end of a run of other characters. So where every white-space run is one space or one line feed, a text's ids are
-    those of its words, each with the white space before it, and words are encoded once. Other texts are encoded whole.
+    those of its words, each with the white space before it, and words are encoded once. Other texts, and those that hold one of the tokenizer's
+    added tokens, are encoded whole.
     """
     encoder = _encoder(path)
     encoder.trim(CACHE)
@@ -91,9 +93,9 @@ def token_ids(texts: list[str | None], path: str = TOKENIZER) -> list[bytes]:
     whole: list[str] = []
     for text in texts:
         text = text or ""
-        parts = text.replace("\n", " \n").split(" ")
-        # as many words as parts: nothing but single spaces and line feeds lies between words
-        if text and len(parts) == len(text.split()) and not text[-1].isspace() and not text[0].isspace():
+        # the words joined by spaces are the text: nothing but single spaces and line feeds lies between words
+        if text and " ".join(text.split()) == text.replace("\n", " ") and not any(x in text for x in encoder.special):
+            parts = text.replace("\n", " \n").split(" ")
             parts[0] = "\r" + parts[0]  # the mark of a first word, which has no space before it
             cut.append(parts)
             for p in parts:
