@@ -17,8 +17,6 @@ from tarnbeck.llm.common import table
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # upper case included
-#: One of these stands in any text that a rule or base phrase matches, in lower case.
-GATES = ("licen", "lizen", "cc", "copyright", "spdx", "public domain", "rights reserved", "warranty")
 CHUNK = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -97,6 +95,9 @@ SINGLE = [
     ("bsd", "opensource", "opensource org licenses bsd [23] clause", 9, 1.0),
     ("mpl", "mozilla", "mozilla org mpl 2 0", 9, 1.0),
 ]
+#: One of these stands in any text that a rule or base phrase matches, in lower case: every template has a word of
+#: _LICENSE, a rule of SINGLE its keyword, and "cc by" the word cc. None has a space, so what parts words is no matter.
+GATES = ("licen", "lizenz", "cc", *sorted({k for _, k, _, _, _ in SINGLE}))
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:

@@ -1,6 +1,8 @@
 """Cases that the corpus operators once left out."""
 
-from tarnbeck.llm import packing
+import re
+
+from tarnbeck.llm import licenses, packing
 
 
 def test_token_ids_where_spaces_cancel():
@@ -11,3 +13,31 @@ def test_token_ids_where_spaces_cancel():
     assert [len(x) // 4 for x in packing.token_ids(odd)] == [len(named.encode(t, add_special_tokens=False).ids) for t in odd]
     assert packing.token_ids(odd) == packing._encoder(packing.TOKENIZER).whole(odd)
     assert named.encode("<|endoftext|> a", add_special_tokens=False).ids == [50256, 257]
+
+
+def _shortest(tree) -> str:
+    """A shortest text that a parsed pattern matches, of its first branches."""
+    out = ""
+    for op, x in tree:
+        match str(op):
+            case "LITERAL":
+                out += chr(x)
+            case "IN":
+                out += chr(x[0][1] if str(x[0][0]) == "LITERAL" else x[0][1][0])
+            case "BRANCH":
+                out += _shortest(x[1][0])
+            case "SUBPATTERN":
+                out += _shortest(x[3])
+            case "MAX_REPEAT":
+                out += _shortest(x[2]) * x[0]
+    return out
+
+
+def test_every_license_rule_passes_the_gate(spark):
+    shapes = [(label, _shortest(re._parser.parse(pattern)), pattern) for label, _, pattern, _, _ in licenses.rules()]
+    assert all(re.fullmatch(p, t) and any(g in t for g in licenses.GATES) for _, t, p in shapes)
+    assert not any(" " in g for g in licenses.GATES)
+    rows = [(label, t) for label, t, p in shapes if p in {x[2] for x in licenses.SINGLE}] + [("public-domain", "Placed in the PUBLIC\n  domain"), ("proprietary", "All rights-reserved")]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: {k.label for k in r.kept} for r in licenses.scan(docs).collect()}
+    assert all(label in found[i] for i, (label, _) in enumerate(rows))
