@@ -47,6 +47,9 @@ _SPACE = frozenset(b" \t\n\r\x0b\x0c")
 #: Of each byte: a random odd number, 0 for what parts words or stands at their ends.
 _LETTER = np.random.default_rng(5).integers(1 << 62, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LETTER[[*_SPACE, *_EDGE.encode()]] = 0
+_IS_SPACE = np.isin(np.arange(256), [*_SPACE])
+#: What str.split() parts words at beside _SPACE.
+_SPACES_BEYOND = [x for x in map(chr, range(0x3001)) if x.isspace() and ord(x) not in _SPACE]
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
 
@@ -62,14 +65,13 @@ def _powers(base: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def terms(text: str | None) -> np.ndarray:
-    """Bucket of each word in order. A word is what stands between white space and marks, in lower case.
-
-    Its hash is the sum of its letters' numbers times powers of a base, taken over all the text at once and divided by
-    the power at which the word begins.
-    """
-    raw = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    found, at = [], 0
+def _slices_of(text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """A text's bytes in slices: (the bytes, their numbers, where terms begin)."""
+    text = (text or "").lower()
+    for x in _SPACES_BEYOND:
+        text = text.replace(x, " ")
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    at = 0
     while at < len(raw):
         part = raw[at : at + SLICE]
         if at + SLICE < len(raw):
@@ -81,6 +83,17 @@ def terms(text: str | None) -> np.ndarray:
         starts = np.nonzero(inside[1:] & ~inside[:-1])[0] + 1
         if len(inside) and inside[0]:
             starts = np.concatenate([[0], starts])
+        yield part, letters, starts
+
+
+def terms(text: str | None) -> np.ndarray:
+    """Bucket of each term in order. A term is what stands between white space and marks, in lower case.
+
+    Its hash is the sum of its letters' numbers times powers of a base, taken over all the text at once and divided by
+    the power at which the term begins.
+    """
+    found = []
+    for part, letters, starts in _slices_of(text):
         if len(starts):
             h = np.add.reduceat(letters * _powers(_BASE)[: len(part)], starts) * _powers(_INVERSE)[starts]
             h ^= h >> np.uint64(29)
@@ -89,6 +102,16 @@ def terms(text: str | None) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, dtype=np.intp)
 
 
+def places(text: str | None) -> np.ndarray:
+    """Of each of the text's terms, which of words() it stands in: marks within a word part terms, white space parts both."""
+    found, before = [np.zeros(0, dtype=np.intp)], 0
+    for part, _, starts in _slices_of(text):
+        spaces = before + np.cumsum(_IS_SPACE[part])
+        found.append(spaces[starts])
+        before = spaces[-1]
+    return np.cumsum(np.diff(np.concatenate(found), prepend=-1) > 0) - 1
+
+
 def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
@@ -275,17 +298,19 @@ def _search(batches: Iterator[pa.RecordBatch], weights: np.ndarray, idf: np.ndar
                 near[int(doc[at + p]), int(owner[q])].append((int(nth[at + p]), float(cosine[p, q])))
         rows = []
         ids = part.column(0).to_pylist()
-        spelt: dict[int, list[str]] = {}
-        for (d, k), places in near.items():
+        spelt: dict[int, tuple[list[str], np.ndarray]] = {}
+        for (d, k), seen in near.items():
             item_id, item = items[k]
             best = None
             if d not in spelt:
-                spelt[d] = words(part.column(1)[d].as_py())
-            for n, cosine in places:
-                # terms and words part differently within odd words, never by much: the stretch has room for that
-                at = n * BLOCK * len(spelt[d]) // max(1, sizes[d])
-                a, b = max(0, at - BLOCK - len(item)), at + 3 * BLOCK + len(item)
-                region = spelt[d][a:b]
+                text = part.column(1)[d].as_py()
+                spelt[d] = words(text), places(text)
+            spelt_words, word_of = spelt[d]
+            for n, cosine in seen:
+                # the words of the passage's terms, and room on both sides for a whole item
+                first, last = word_of[n * BLOCK], word_of[min((n + 2) * BLOCK, sizes[d]) - 1]
+                a, b = max(0, int(first) - BLOCK - len(item)), int(last) + 1 + BLOCK + len(item)
+                region = spelt_words[a:b]
                 if sum(w in sets[k] for w in region) < COVER_ANSWERED * len(item):
                     continue  # the common subsequence is no longer than that
                 share, answered = holds(item, region)

@@ -1,8 +1,9 @@
 """Cases that the corpus operators once left out."""
 
+import random
 import re
 
-from tarnbeck.llm import licenses, packing
+from tarnbeck.llm import decontaminate, licenses, packing
 
 
 def test_token_ids_where_spaces_cancel():
@@ -41,3 +42,25 @@ def test_every_license_rule_passes_the_gate(spark):
     docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
     found = {r.doc_id: {k.label for k in r.kept} for r in licenses.scan(docs).collect()}
     assert all(label in found[i] for i, (label, _) in enumerate(rows))
+
+
+def test_places_of_terms_in_words():
+    r = random.Random(11)
+    odd = ["don't " * 5000 + "plain " * 5000, "a,b,c; 1,234 it's -- ... http://x.y/z?q=1 end", "9" * 20_000 + " 'x' " + "é" * 9_000 + ".y z", "a\xa0b c,d\x1ce \x85 f", " ", "", None]
+    odd += ["".join(r.choice("ab é.,'\n\xa0　") for _ in range(20_000)) for _ in range(5)]
+    for text in odd:
+        at, spelt = decontaminate.places(text), decontaminate.words(text)
+        assert len(at) == len(decontaminate.terms(text)) and list(dict.fromkeys(at.tolist())) == list(range(len(spelt)))
+    assert decontaminate.places(odd[0])[[0, 1, 9_999, 10_000, 14_999]].tolist() == [0, 0, 4_999, 5_000, 9_999]
+
+
+def test_item_behind_words_with_inner_marks(spark):
+    r = random.Random(12)
+    item = " ".join(f"q{r.randrange(10**6)}" for _ in range(20))
+    plain = [f"w{r.randrange(3000)}" for _ in range(5000)]
+    rows = [(i, " ".join(f"w{r.randrange(3000)}" for _ in range(200))) for i in range(100)]
+    rows.append((100, " ".join(["don't"] * 5000 + plain[:2500] + [item] + plain[2500:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(x.doc_id, x.item_id, x.coverage) for x in found] == [(100, 1, 1.0)]
+    assert 7400 < found[0].near_word <= 7500
