@@ -5,7 +5,8 @@ matrix A of all passages (rows of unit length) and sums A'(AW) for a random W, f
 right singular vectors and values: a randomised SVD whose only gathered data are BUCKETS x RANK numbers, whatever the
 corpus holds. In the third pass all overlapping passages are projected, whitened by the singular values, and held by
 cosine against the benchmark's passages, a block of them at a time. Each candidate is then held to the cosine of the
-TF-IDF vectors themselves, and verified on the words around it: the longest common subsequence must cover most of the
+TF-IDF vectors themselves; a passage with WINDOW terms of an item in a row is one without that. Candidates are verified
+on the words around them: the longest common subsequence must cover most of the
 item, or a fair part of it with the item's answer, its last words, standing whole beside it, which is how paraphrases
 show.
 """
@@ -35,8 +36,12 @@ COVER, COVER_ANSWERED = 0.75, 0.6
 ANSWER_WORDS = 5
 #: Items of fewer words say too little to be told from chance and are not sought.
 ITEM_WORDS = 8
-#: Terms in more documents than this share of all and COMMON_DOCS more weigh nothing: they tell languages apart, not texts.
-COMMON_SHARE, COMMON_DOCS = 0.2, 50
+#: So many terms of an item in a row make a passage a candidate whatever they weigh.
+WINDOW = 5
+#: Bits of a hash that the first look-up of such windows takes.
+LOOK_UP = 20
+#: Candidates whose exact cosines are worked out at a time.
+PAIRS = 1 << 14
 QUERY_WORDS = 48
 #: Benchmark passages that one pass holds.
 QUERY_BLOCK = 2000
@@ -136,13 +141,13 @@ def _few_tasks(df: DataFrame) -> DataFrame:
 
 
 def frequencies(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequencies of all terms, over all documents."""
+    """Smoothed inverse document frequencies of all terms, over all documents: positive, however common a term is."""
     rows = _few_tasks(docs.select(F.col("text").cast("string"))).mapInArrow(_frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(BUCKETS + 1)
     for r in rows:
         counts[r.term] = r.n
     n, df = counts[BUCKETS], counts[:BUCKETS]
-    return np.where(df > COMMON_SHARE * n + COMMON_DOCS, 0, np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+    return (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
 
 def _cuts(sizes: list[int], block: int) -> np.ndarray:
@@ -171,13 +176,6 @@ def sums(ids: np.ndarray, cuts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def _weighty(ids: np.ndarray, cuts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms that weigh something, and where each block of all terms begins among them."""
-    kept = idf[ids] > 0
-    before = np.concatenate([[0], np.cumsum(kept)])
-    return ids[kept], before[cuts].astype(np.intp)
-
-
 def _random(rank: int = RANK) -> np.ndarray:
     return np.random.default_rng(17).normal(size=(BUCKETS, rank)).astype(np.float32)
 
@@ -186,8 +184,8 @@ def _gram(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[pa.Rec
     scaled = idf[:, None] * _random()
     total = np.zeros((BUCKETS, RANK), dtype=np.float32)
     for _, found in _groups(batches, 0):
-        ids, cuts = _weighty(np.concatenate(found), _cuts([len(d) for d in found], 2 * BLOCK), idf)
-        for some, a, b in _slices(np.unique(cuts[cuts < len(ids)]), len(ids)):
+        ids, cuts = np.concatenate(found), _cuts([len(d) for d in found], 2 * BLOCK)
+        for some, a, b in _slices(cuts, len(ids)):
             own = ids[a:b]
             y = np.add.reduceat(np.take(scaled, own, axis=0), some - a, axis=0)
             y *= RANK / np.maximum((y * y).sum(axis=1, keepdims=True), 1e-12)
@@ -263,6 +261,38 @@ def queries_of(items: list[tuple[int, list[str]]]) -> list[tuple[int, list[str]]
     return out
 
 
+_PLACES = np.random.default_rng(23).integers(1 << 62, size=(WINDOW, BUCKETS), dtype=np.uint64) * np.uint64(4) + np.uint64(1)
+
+
+def windows(ids: np.ndarray) -> np.ndarray:
+    """Hash of each WINDOW terms in a row, by the first."""
+    total = np.zeros(max(0, len(ids) - WINDOW + 1), dtype=np.uint64)
+    for j in range(WINDOW):
+        total += _PLACES[j][ids[j : j + len(total)]]
+    return total
+
+
+class _Runs:
+    """Finds where items have WINDOW terms in a row with a text."""
+
+    def __init__(self, items: list[list[str]]) -> None:
+        hashes = [np.unique(windows(terms(" ".join(x)))) for x in items]
+        owner = np.repeat(np.arange(len(items)), [len(h) for h in hashes])
+        keys = np.concatenate(hashes)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owner = keys[order], owner[order]
+        self.some = np.zeros(1 << LOOK_UP, dtype=bool)
+        self.some[self.keys >> np.uint64(64 - LOOK_UP)] = True
+
+    def find(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of a window's first term, item)."""
+        found = windows(flat)
+        at = np.nonzero(self.some[found >> np.uint64(64 - LOOK_UP)])[0]
+        lo, hi = (np.searchsorted(self.keys, found[at], side) for side in ("left", "right"))
+        n = hi - lo
+        return np.repeat(at, n), self.owner[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
+
+
 def _search(batches: Iterator[pa.RecordBatch], weights: np.ndarray, idf: np.ndarray, items: list[tuple[int, list[str]]]) -> Iterator[pa.RecordBatch]:
     pieces = queries_of(items)
     exact = np.zeros((len(pieces), BUCKETS), dtype=np.float32)
@@ -274,28 +304,40 @@ def _search(batches: Iterator[pa.RecordBatch], weights: np.ndarray, idf: np.ndar
     owner = np.array([k for k, _ in pieces])
     sought = _unit(np.stack([weights[terms(" ".join(p))].sum(axis=0) for _, p in pieces])).T
     sets = [frozenset(w) for _, w in items]
+    runs = _Runs([w for _, w in items])
     for part, found in _groups(batches, 1):
         sizes = [len(d) for d in found]
         cuts = _cuts(sizes, BLOCK)
         flat = np.concatenate(found)
-        block = sums(*_weighty(flat, cuts, idf), weights)
+        block = sums(flat, cuts, weights)
         ends = np.cumsum(sizes)
         doc = np.repeat(np.arange(len(found)), [-(-n // BLOCK) for n in sizes])
         nth = np.arange(len(cuts)) - np.repeat(np.concatenate([[0], np.cumsum([-(-n // BLOCK) for n in sizes])[:-1]]).astype(int), [-(-n // BLOCK) for n in sizes])
         last = np.append(doc[1:] != doc[:-1], True) if len(doc) else np.zeros(0, dtype=bool)
         passage = block.copy()
         passage[:-1][~last[:-1]] += block[1:][~last[:-1]]
-        near: dict[tuple[int, int], list[tuple[int, float]]] = defaultdict(list)
+        near: dict[tuple[int, int], dict[int, float]] = defaultdict(dict)
         for at in range(0, len(passage), 4096):
             cosine = _unit(passage[at : at + 4096]) @ sought
-            p, q = np.nonzero(cosine >= COSINE)
-            place = cuts[at + p][:, None] + width
-            there = place < ends[doc[at + p]][:, None]
-            own = flat[np.minimum(place, len(flat) - 1)]
-            mass = idf[own] * there
-            true = (exact[q[:, None], own] * mass).sum(axis=1) / np.maximum(np.sqrt((mass * mass).sum(axis=1)), 1e-12)
-            for p, q in zip(p[true >= EXACT], q[true >= EXACT], strict=True):
-                near[int(doc[at + p]), int(owner[q])].append((int(nth[at + p]), float(cosine[p, q])))
+            near_p, near_q = np.nonzero(cosine >= COSINE)
+            for k in range(0, len(near_p), PAIRS):
+                p, q = near_p[k : k + PAIRS], near_q[k : k + PAIRS]
+                place = cuts[at + p][:, None] + width
+                there = place < ends[doc[at + p]][:, None]
+                own = flat[np.minimum(place, len(flat) - 1)]
+                mass = idf[own] * there
+                true = (exact[q[:, None], own] * mass).sum(axis=1) / np.maximum(np.sqrt((mass * mass).sum(axis=1)), 1e-12)
+                for p, q in zip(p[true >= EXACT], q[true >= EXACT], strict=True):
+                    of = near[int(doc[at + p]), int(owner[q])]
+                    of[int(nth[at + p])] = max(of.get(int(nth[at + p]), 0.0), float(cosine[p, q]))
+        # An item's terms in a row make a candidate too: common ones weigh too little beside what surrounds them.
+        at, of = runs.find(flat)
+        of_doc = np.searchsorted(ends, at, side="right")
+        inside = at + WINDOW <= ends[of_doc]
+        first_block = np.searchsorted(cuts, at, side="right") - 1
+        for p, k in np.unique(np.stack([first_block[inside], of[inside]]), axis=1).T.tolist():
+            if int(nth[p]) not in near[int(doc[p]), k]:
+                near[int(doc[p]), k][int(nth[p])] = float((_unit(passage[p : p + 1]) @ sought[:, owner == k]).max())
         rows = []
         ids = part.column(0).to_pylist()
         spelt: dict[int, tuple[list[str], np.ndarray]] = {}
@@ -306,7 +348,7 @@ def _search(batches: Iterator[pa.RecordBatch], weights: np.ndarray, idf: np.ndar
                 text = part.column(1)[d].as_py()
                 spelt[d] = words(text), places(text)
             spelt_words, word_of = spelt[d]
-            for n, cosine in seen:
+            for n, cosine in seen.items():
                 # the words of the passage's terms, and room on both sides for a whole item
                 first, last = word_of[n * BLOCK], word_of[min((n + 2) * BLOCK, sizes[d]) - 1]
                 a, b = max(0, int(first) - BLOCK - len(item)), int(last) + 1 + BLOCK + len(item)

@@ -64,3 +64,16 @@ def test_item_behind_words_with_inner_marks(spark):
     found = decontaminate.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
     assert [(x.doc_id, x.item_id, x.coverage) for x in found] == [(100, 1, 1.0)]
     assert 7400 < found[0].near_word <= 7500
+
+
+def test_item_in_a_passage_that_a_third_of_documents_share(spark):
+    r = random.Random(13)
+    item = " ".join(f"q{r.randrange(10**6)}" for _ in range(8))
+    text = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    copy = text(40) + " " + item + " " + text(40)
+    rows = [(i, copy if i < 100 else f"{text(40)} {item} {text(40)}" if i < 110 else text(80)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    idf = decontaminate.frequencies(docs)
+    assert (idf > 0).all()
+    found = decontaminate.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted(x.doc_id for x in found) == list(range(110))
