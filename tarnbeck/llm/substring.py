@@ -9,7 +9,7 @@ all of the band, by a sketch of SKETCH one-bit MinHashes inside the join, which
 probability 0.998 and one of 0.5 with 0.0003. Every pair left is verified by exact Jaccard before it links, and
 components of links are the classes.
 
-A paragraph is repeated if its class stands in two documents. Runs of repeated paragraphs of at least RUN_WORDS words
+A paragraph is repeated if its class stands in two places, of one document or two. Runs of repeated paragraphs of at least RUN_WORDS words
 in all are reported; shorter common lines are left alone. The class's first occurrence is kept.
 """
 
@@ -227,8 +227,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     units = materialise(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_occurrences, "doc_id long, unit int, start int, end int, words int, mark long"), "paragraphs")
     near = materialise(components(links(docs, units)).select(F.col("node").alias("n"), F.col("component").alias("c")), "classes")
     classed = units.join(near, F.col("mark") == F.col("n"), "left").select("doc_id", "unit", "start", "end", "words", F.coalesce("c", "mark").alias("class_id"))
-    classes = classed.groupBy("class_id").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.min(F.struct("doc_id", "unit")).alias("first"))
-    classes = classes.where("first_doc != last_doc").select(F.col("class_id").alias("k"), "first_doc", F.col("first.unit").alias("first_unit"))
+    classes = classed.groupBy("class_id").agg(F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "unit")).alias("first"), F.max(F.struct("doc_id", "unit")).alias("last"))
+    classes = classes.where("first != last").select(F.col("class_id").alias("k"), "first_doc", F.col("first.unit").alias("first_unit"))
     again = classed.join(classes, F.col("class_id") == F.col("k"))
     # Paragraphs of a document in a row, or with no more than one short one between them, are one run.
     own = Window.partitionBy("doc_id").orderBy("unit", "start")

@@ -3,7 +3,7 @@
 import random
 import re
 
-from tarnbeck.llm import decontaminate, licenses, packing
+from tarnbeck.llm import decontaminate, licenses, packing, substring
 
 
 def test_token_ids_where_spaces_cancel():
@@ -77,3 +77,20 @@ def test_item_in_a_passage_that_a_third_of_documents_share(spark):
     assert (idf > 0).all()
     found = decontaminate.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
     assert sorted(x.doc_id for x in found) == list(range(110))
+
+
+def _repeats(spark, rows):
+    return substring.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+
+
+def _plain(r, n):
+    return " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+
+
+def test_repeats_inside_one_document(spark):
+    r = random.Random(16)
+    line = _plain(r, 20) + "."
+    text = "\n".join([_plain(r, 30) + ".", line, _plain(r, 30) + ".", line])
+    found = sorted(_repeats(spark, [(1, text), (2, _plain(r, 50)), (3, "twice the same row " * 1), (3, "twice the same row " * 1)]), key=lambda x: x.start)
+    assert [(x.doc_id, x.n_words, x.removed) for x in found] == [(1, 20, False), (1, 20, True)]
+    assert [text[x.start : x.end] for x in found] == [line, line]
