@@ -2,15 +2,17 @@
 
 The paragraphs compared are the sentences of each line, so a passage set into other text shares whole ones whatever
 surrounds it; a longer stretch without a stop is cut after words that a hash picks, which does not depend on where it
-begins. Equal paragraphs meet by hash. For others, MinHash signatures of their five-word shingles are cut into BANDS
+begins. Windows of RUN_WORDS words, winnowed from the whole text, are paragraphs too, which meet by hash alone: they find
+every passage of RUN_WORDS + WINNOW - 1 words that two texts share, where no sentence of it is whole. Equal paragraphs meet by hash. For others, MinHash signatures of their five-word shingles are cut into BANDS
 bands of ROWS rows: two paragraphs of similarity 0.8 meet in a band with probability 1 - (1 - 0.8^2)^5 = 0.994. Each
 band's paragraphs are first held against the band's least one; those that are not similar to it are then held against
 all of the band, by a sketch of SKETCH one-bit MinHashes inside the join, which a pair of similarity 0.8 passes with
 probability 0.998 and one of 0.5 with 0.0003. Every pair left is verified by exact Jaccard before it links, and
 components of links are the classes.
 
-A paragraph is repeated if its class stands in two places, of one document or two. Runs of repeated paragraphs of at least RUN_WORDS words
-in all are reported; shorter common lines are left alone. The class's first occurrence is kept.
+A paragraph is repeated if its class stands in two places, of one document or two. Runs of repeated paragraphs are
+reported if they have RUN_WORDS words; shorter common lines are left alone.
+The class's first occurrence is kept.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ BAND_WORDS = 8
 LONG_WORDS = 40
 PIECE_WORDS, PIECE_MOST = 8, 64
 RUN_WORDS = 16
+#: Of WINNOW windows of RUN_WORDS words in a row, the one of least hash is a unit.
+WINNOW = 18
 #: Bits of a sketch, in longs. Of two paragraphs of similarity s each bit is equal with probability (1 + s) / 2.
 SKETCH, SKETCH_DIFFERENT = 256, 40
 _SENTENCE = re.compile(r"[^.!?。！？\n]*[.!?。！？]+|[^.!?。！？\n]+")
@@ -85,6 +89,40 @@ def paragraphs(text: str) -> Iterator[tuple[int, int, list[str]]]:
             yield from _cut(text, open_, line.end())
 
 
+_SPACE = np.array([chr(i).isspace() for i in range(0x3002)])
+_BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def spans(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(words, starts, ends) of all words of a text; offsets in code points."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    inside = np.concatenate([[False], ~_SPACE[np.minimum(code, 0x3001)], [False]])
+    edges = np.nonzero(inside[1:] != inside[:-1])[0]
+    words = [x.strip(_EDGE) for x in text.lower().split()]
+    keep = np.fromiter(map(bool, words), dtype=bool, count=len(words))
+    return [w for w in words if w], edges[::2][keep], edges[1::2][keep]
+
+
+def winnowed(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, mark) of windows of RUN_WORDS words, which depend on the words about them alone.
+
+    Of any WINNOW windows in a row the least is among them, so two texts that share RUN_WORDS + WINNOW - 1 words in a
+    row share a window, whatever stops or surrounds those words.
+    """
+    n = len(words) - RUN_WORDS + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.intp), np.zeros(0, dtype=np.int64)
+    hashes = np.fromiter(map(_digest, words), dtype=np.uint64, count=len(words))
+    power = np.full(len(words), _BASE, dtype=np.uint64)
+    back = np.full(n, _INVERSE, dtype=np.uint64)
+    power[0] = back[0] = 1
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * np.multiply.accumulate(power), dtype=np.uint64)])
+    found = _mix(_mix((total[RUN_WORDS:] - total[:n]) * np.multiply.accumulate(back)))
+    rows = np.lib.stride_tricks.sliding_window_view(found, min(WINNOW, n))
+    at = np.unique(rows.argmin(axis=1) + np.arange(len(rows)))
+    return at, found[at].view(np.int64)
+
+
 def shingles(words: list[str]) -> set[tuple[str, ...]]:
     return set(zip(*(words[i:] for i in range(SHINGLE)), strict=False))
 
@@ -94,13 +132,35 @@ def _signed(value: int) -> int:
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paragraphs."""
+    for batch in batches:
+        yield _units(batch, False)
+
+
+def _occurrences_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paragraphs and windows of words; and of each its first word, and a short document's words."""
     for batch in batches:
-        doc, unit, start, end, count, mark = [], [], [], [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            for k, (a, b, words) in enumerate(paragraphs(text.as_py() or "")):
-                for column, value in ((doc, doc_id), (unit, k), (start, a), (end, b), (count, len(words)), (mark, _signed(_digest(" ".join(words))))):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(unit, pa.int32()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(count, pa.int32()), pa.array(mark, pa.int64())], names=["doc_id", "unit", "start", "end", "words", "mark"])
+        for at in range(0, batch.num_rows, 1000):
+            yield _units(batch.slice(at, 1000), True)
+
+
+def _units(batch: pa.RecordBatch, every: bool) -> pa.RecordBatch:
+    doc, unit, start, end, count, mark, first, total = [], [], [], [], [], [], [], []
+    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        text = text.as_py() or ""
+        rows = [(k, a, b, len(words), _signed(_digest(" ".join(words)))) for k, (a, b, words) in enumerate(paragraphs(text))]
+        if every:
+            spelt, starts, ends = spans(text)
+            at, marks = winnowed(spelt)
+            rows += zip(range(len(rows), len(rows) + len(at)), starts[at].tolist(), ends[at + RUN_WORDS - 1].tolist(), [RUN_WORDS] * len(at), marks.tolist(), strict=True)
+            first += np.searchsorted(starts, [r[1] for r in rows]).tolist()
+            total += [len(spelt) if len(spelt) < RUN_WORDS else None] * len(rows)
+        doc += [doc_id] * len(rows)
+        for column, values in zip((unit, start, end, count, mark), zip(*rows, strict=True), strict=False):
+            column += values
+    columns = [pa.array(doc, pa.int64()), *(pa.array(c, pa.int32()) for c in (unit, start, end, count)), pa.array(mark, pa.int64())]
+    more = [pa.array(first, pa.int32()), pa.array(total, pa.int32())] if every else []
+    return pa.RecordBatch.from_arrays(columns + more, names=["doc_id", "unit", "start", "end", "words", "mark", "word", "total"][: len(columns + more)])
 
 
 _MULTIPLY = np.random.default_rng(2024).integers(1 << 62, size=(BANDS * ROWS,), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -224,18 +284,24 @@ def repeats(docs: DataFrame) -> DataFrame:
     share a doc_id are one document.
     """
     docs = docs.where("doc_id IS NOT NULL")
-    units = materialise(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_occurrences, "doc_id long, unit int, start int, end int, words int, mark long"), "paragraphs")
+    units = materialise(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_occurrences_all, "doc_id long, unit int, start int, end int, words int, mark long, word int, total int"), "paragraphs")
     near = materialise(components(links(docs, units)).select(F.col("node").alias("n"), F.col("component").alias("c")), "classes")
-    classed = units.join(near, F.col("mark") == F.col("n"), "left").select("doc_id", "unit", "start", "end", "words", F.coalesce("c", "mark").alias("class_id"))
-    classes = classed.groupBy("class_id").agg(F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "unit")).alias("first"), F.max(F.struct("doc_id", "unit")).alias("last"))
-    classes = classes.where("first != last").select(F.col("class_id").alias("k"), "first_doc", F.col("first.unit").alias("first_unit"))
-    again = classed.join(classes, F.col("class_id") == F.col("k"))
+    place = F.struct("doc_id", "unit")
+    marks = units.groupBy("mark").agg(F.min(place).alias("first"), F.max(place).alias("last")).join(near, F.col("mark") == F.col("n"), "left")
+    # Most marks stand in one place and are similar to none: they are left before anything wide is dealt out.
+    marks = materialise(marks.where("n IS NOT NULL OR first != last").select("mark", F.coalesce("c", "mark").alias("class_id"), "first", "last"), "marks")
+    classes = marks.groupBy("class_id").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first != last").withColumnRenamed("class_id", "k")
+    marks = marks.select(F.col("mark").alias("m"), "class_id").join(classes, F.col("class_id") == F.col("k"))
+    again = units.join(marks, F.col("mark") == F.col("m")).select("doc_id", "unit", "start", "end", "words", "word", "total", "class_id", "first", "last").withColumn("gone", place != F.col("first"))
     # Paragraphs of a document in a row, or with no more than one short one between them, are one run.
-    own = Window.partitionBy("doc_id").orderBy("unit", "start")
-    again = again.withColumn("new", F.coalesce(F.col("start") - F.lag("end").over(own) > 40, F.lit(True)).cast("int"))
+    own = Window.partitionBy("doc_id").orderBy("start", "unit")
+    before = own.rowsBetween(Window.unboundedPreceding, -1)
+    again = again.withColumn("new", F.coalesce(F.col("start") - F.max("end").over(before) > 40, F.lit(True)).cast("int"))
+    again = again.withColumn("fresh", F.col("word") + F.col("words") - F.greatest("word", F.coalesce(F.max(F.col("word") + F.col("words")).over(before), F.lit(0))))
     again = again.withColumn("run", F.sum("new").over(own))
-    gone = (F.col("doc_id") != F.col("first_doc")) | (F.col("unit") != F.col("first_unit"))
-    runs = again.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.count("*").alias("n_paragraphs"), F.min("class_id").alias("class_id"), F.min("first_doc").alias("first_doc"), F.max(gone).alias("removed"))
+    runs = again.groupBy("doc_id", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum(F.greatest("fresh", F.lit(0))).alias("n_words"), F.count("*").alias("n_paragraphs"), F.min("class_id").alias("class_id"), F.min("first.doc_id").alias("first_doc"), F.max("gone").alias("removed"),
+    )
     return runs.where(F.col("n_words") >= RUN_WORDS).drop("run")
 
 

@@ -87,6 +87,14 @@ def _plain(r, n):
     return " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
 
 
+def test_passages_without_stops(spark):
+    r = random.Random(14)
+    passages = [_plain(r, 51) for _ in range(40)]
+    rows = [(2 * i + k, f"{_plain(r, 60)} {p} {_plain(r, 60)}") for i, p in enumerate(passages) for k in range(2)]
+    found = {x.doc_id for x in _repeats(spark, [*rows, (1000, _plain(r, 300))])}
+    assert found == {d for d, _ in rows}
+
+
 def test_repeats_inside_one_document(spark):
     r = random.Random(16)
     line = _plain(r, 20) + "."
