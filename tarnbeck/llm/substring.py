@@ -11,7 +11,8 @@ probability 0.998 and one of 0.5 with 0.0003. Every pair left is verified by exa
 components of links are the classes.
 
 A paragraph is repeated if its class stands in two places, of one document or two. Runs of repeated paragraphs are
-reported if they have RUN_WORDS words; shorter common lines are left alone.
+reported if they have RUN_WORDS words, are all of their document, or follow one another in another document as here
+and have RUN_WORDS words together, as when other sentences of a copy were edited; single common lines are left alone.
 The class's first occurrence is kept.
 """
 
@@ -38,6 +39,8 @@ PIECE_WORDS, PIECE_MOST = 8, 64
 RUN_WORDS = 16
 #: Of WINNOW windows of RUN_WORDS words in a row, the one of least hash is a unit.
 WINNOW = 18
+#: By how many paragraphs the places of repeated ones may shift against another document's, from one to the next.
+SHIFT = 2
 #: Bits of a sketch, in longs. Of two paragraphs of similarity s each bit is equal with probability (1 + s) / 2.
 SKETCH, SKETCH_DIFFERENT = 256, 40
 _SENTENCE = re.compile(r"[^.!?。！？\n]*[.!?。！？]+|[^.!?。！？\n]+")
@@ -138,7 +141,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _occurrences_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Paragraphs and windows of words; and of each its first word, and a short document's words."""
+    """Paragraphs, windows of words, and short documents as wholes; and of each its first word, and a short document's words."""
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             yield _units(batch.slice(at, 1000), True)
@@ -151,6 +154,8 @@ def _units(batch: pa.RecordBatch, every: bool) -> pa.RecordBatch:
         rows = [(k, a, b, len(words), _signed(_digest(" ".join(words)))) for k, (a, b, words) in enumerate(paragraphs(text))]
         if every:
             spelt, starts, ends = spans(text)
+            if 0 < len(spelt) < RUN_WORDS:
+                rows.append((len(rows), int(starts[0]), int(ends[-1]), len(spelt), _signed(_digest("whole\n" + " ".join(spelt)))))
             at, marks = winnowed(spelt)
             rows += zip(range(len(rows), len(rows) + len(at)), starts[at].tolist(), ends[at + RUN_WORDS - 1].tolist(), [RUN_WORDS] * len(at), marks.tolist(), strict=True)
             first += np.searchsorted(starts, [r[1] for r in rows]).tolist()
@@ -299,10 +304,19 @@ def repeats(docs: DataFrame) -> DataFrame:
     again = again.withColumn("new", F.coalesce(F.col("start") - F.max("end").over(before) > 40, F.lit(True)).cast("int"))
     again = again.withColumn("fresh", F.col("word") + F.col("words") - F.greatest("word", F.coalesce(F.max(F.col("word") + F.col("words")).over(before), F.lit(0))))
     again = again.withColumn("run", F.sum("new").over(own))
+    # Paragraphs that stand in another document in the same order belong together, whatever was edited between them.
+    again = again.withColumn("with", F.when(F.col("gone"), F.col("first")).otherwise(F.col("last")))
+    again = again.withColumn("beside", F.col("with.doc_id")).withColumn("shift", F.col("unit") - F.col("with.unit"))
+    pair = Window.partitionBy("doc_id", "beside").orderBy("unit", "start")
+    again = again.withColumn("off", F.coalesce(F.abs(F.col("shift") - F.lag("shift").over(pair)) > SHIFT, F.lit(True)).cast("int"))
+    again = again.withColumn("chain", F.sum("off").over(pair))
+    again = again.withColumn("held", F.sum("words").over(Window.partitionBy("doc_id", "beside", "chain")))
+    enough = (F.col("held") >= RUN_WORDS) & (F.col("beside") != F.col("doc_id"))
     runs = again.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum(F.greatest("fresh", F.lit(0))).alias("n_words"), F.count("*").alias("n_paragraphs"), F.min("class_id").alias("class_id"), F.min("first.doc_id").alias("first_doc"), F.max("gone").alias("removed"),
+        F.max(enough).alias("enough"), F.max("total").alias("total"),
     )
-    return runs.where(F.col("n_words") >= RUN_WORDS).drop("run")
+    return runs.where((F.col("n_words") >= RUN_WORDS) | F.col("enough") | (F.col("n_words") >= F.col("total"))).drop("run", "enough", "total")
 
 
 def op1_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,6 +95,16 @@ def test_passages_without_stops(spark):
     assert found == {d for d, _ in rows}
 
 
+def test_short_documents_and_edited_copies(spark):
+    r = random.Random(15)
+    kept = [_plain(r, 10) + ". " for _ in range(6)]
+    alternate = lambda: "".join(s + _plain(r, 12) + ". " for s in kept)
+    rows = [(1, "three short words"), (2, "Three short words."), (3, _plain(r, 9)), (4, alternate()), (5, alternate()), (6, "once only"), (7, _plain(r, 40) + ". a line of common words. " + _plain(r, 30)), (8, _plain(r, 40) + ". a line of common words. " + _plain(r, 30))]
+    found = _repeats(spark, rows)
+    assert {(x.doc_id, x.n_words, x.removed) for x in found if x.doc_id < 4} == {(1, 3, False), (2, 3, True)}
+    assert sorted((x.doc_id, x.n_words, x.removed) for x in found if x.doc_id > 3) == [(4, 10, False)] * 6 + [(5, 10, True)] * 6
+
+
 def test_repeats_inside_one_document(spark):
     r = random.Random(16)
     line = _plain(r, 20) + "."
