@@ -105,7 +105,7 @@ def x10_rerank(spark: SparkSession, d: str) -> DataFrame:
 def x11_hybrid(spark: SparkSession, d: str) -> DataFrame:
     """documents stand in for the vectors of their ids: lexical and vector lists fused and reranked."""
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text").join(items(spark, d).select("id", "embedding"), "id")
-    asked = table(spark, d, "benchmark").where("item_id < 20").select(F.col("item_id").alias("qid"), F.col("text").alias("query")).join(items(spark, d).select(F.col("id").alias("qid"), F.col("embedding").alias("qvec")), "qid")
+    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query")).join(items(spark, d).select(F.col("id").alias("qid"), F.col("embedding").alias("qvec")), "qid")
     return R.hybrid(docs, asked, 10, 5)
 
 

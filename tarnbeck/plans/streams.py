@@ -86,7 +86,7 @@ def x15_character_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def x14_merged_chunks(spark: SparkSession, d: str) -> DataFrame:
-    parts = C.split_characters(table(spark, d, "documents").where("n_chars < 6000").withColumnRenamed("doc_id", "id"), 300, 0)
+    parts = C.split_characters(table(spark, d, "documents").withColumnRenamed("doc_id", "id"), 300, 0)
     return C.merge_chunks(parts, 500, 1000)
 
 
