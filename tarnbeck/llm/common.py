@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes that a Python worker is handed at a time, about.
+BATCH_BYTES = 8 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir, or one in the warehouse where it is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
-        named = f"file://{tempfile.mkdtemp(prefix='tarnbeck-')}"
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tarnbeck-shared"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
@@ -27,7 +33,56 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.folder = path
+    return found
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes what materialise wrote for df, which must not be read again."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.folder)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """df, in a session that hands Python workers batches of BATCH_BYTES, so that long texts do not make large ones."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
+def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all values in a row, where each begins and the last ends) of a column of strings or binaries; null is empty."""
+    if pa.types.is_string(column.type):
+        column = column.cast(pa.large_string())
+    elif pa.types.is_binary(column.type):
+        column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = pc.fill_null(column, "" if pa.types.is_large_string(column.type) else b"")
+    _, places, data = column.buffers()
+    places = np.frombuffer(places, dtype=np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, dtype=np.int64)
+    return np.frombuffer(data or b"", dtype=np.uint8), places
+
+
+def slices(raw: np.ndarray, places: np.ndarray, lo: int, hi: int, size: int, gap: np.ndarray) -> Iterator[tuple[int, int, int, int, bool]]:
+    """The texts lo to hi in slices of about `size` bytes: (first text, last, first byte, last, whether the text goes on).
+
+    A longer text is a slice of its own, or several that end before a byte of `gap`, which has a flag for each byte.
+    """
+    i = lo
+    while i < hi:
+        a = int(places[i])
+        j = min(hi, max(i + 1, int(np.searchsorted(places, a + size, side="right")) - 1))
+        end = int(places[j])
+        at = a + size
+        while at < end:
+            found = np.nonzero(gap[raw[at : at + size]] & ~gap[raw[at - 1 : min(at + size, len(raw)) - 1]])[0]
+            if len(found) and at + int(found[0]) < end:
+                yield i, j, a, at + int(found[0]), True
+                a = at + int(found[0])
+                at = a
+            at += size
+        yield i, j, a, end, False
+        i = j
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -46,7 +101,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
         small = large.join(low, F.col("u") == F.col("k"))
         small = small.select("v", "m").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select(F.col("k").alias("u"), F.col("m").alias("v")))
-        links = materialise(small.distinct(), "links")
+        last, links = links, materialise(small.distinct(), "links")
+        discard(last)
         seen = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break

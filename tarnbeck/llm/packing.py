@@ -10,124 +10,178 @@ list of slots, each a run of ranks within one length; pieces find theirs by thei
 
 from __future__ import annotations
 
+import base64
 import functools
-import struct
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tarnbeck.llm.common import materialise, table
+from tarnbeck.llm.common import buffers, in_batches, materialise, slices, table
 
 CAPACITY = 1024
 END = 2
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-#: Entries that a worker keeps of words' ids; it starts afresh beyond.
-CACHE = 500_000
-#: Pieces of one length and salt at most, about.
-SALT_ROWS = 20_000
-
-
-def _byte_letters() -> dict[int, str]:
-    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from 256 on, in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+#: The same vocabulary with its merges as ranks.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Bytes of text that are encoded at a time.
+SLICE = 1 << 21
+#: Units of at most so many bytes are encoded once a slice.
+KEY = 16
+#: Pieces of one length and salt, about.
+SALT_ROWS = 1000
+_SPACE = np.isin(np.arange(256), [*b" \t\n\r\x0b\x0c"])
+#: Texts with any other character go whole to the tokenizer: white space beyond ASCII, and scripts whose letters and
+#: numbers have grown since Unicode 8, of which the libraries' tables may differ.
+_ODD = re.compile("[^\0-\x84\x86-\x9f\xa1-\u033f\u0400-\u047f\u200b-\u2027\u202a-\u202e\u2030-\u205e\u2060-\u20cf\u3041-\u30ff\u4000-\u9fd5]")
+
+
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places starts[0], starts[0] + 1, ... of each run in a row."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(lengths.sum())
 
 
 class _Encoder:
-    """Ids of words, kept in memory; words are pieces without white space, but for one space or line feed before them."""
+    """A tokenizer's ids for columns of texts.
+
+    The tokenizer's pattern never joins what stands before a run of white space with what follows, so a text's ids are
+    those of its units, each a run of white space and the word after it. Of a slice of texts each distinct unit is
+    encoded once, all of them in one string, which is cut again by the lengths of the ids' bytes.
+    """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, ranks: str = RANKS) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        #: Texts with one of these get its id for it, which words alone would not.
+        #: Texts with one of these get its id for it.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {}
-        self._letters = _byte_letters()
+        with open(ranks, "rb") as f:
+            known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.merges = tiktoken.Encoding("units", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
+        self.sizes = np.zeros(max(known.values()) + 1, dtype=np.int64)
+        self.sizes[list(known.values())] = [len(x) for x in known]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _part(self, part: str) -> bytes:
-        """Of one piece of the pattern, in the byte-level alphabet."""
-        if (found := self._parts.get(part)) is None:
-            ids = [t.id for t in self.tokenizer.model.tokenize(part)]
-            found = self._parts[part] = struct.pack(f"<{len(ids)}I", *ids)
-        return found
+    def _merged(self, text: str) -> np.ndarray:
+        return np.array(self.merges.encode_ordinary(text), dtype="<u4")
+
+    def _slice(self, raw: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, the first id of each text) of texts that lie in a row and begin at firsts."""
+        space = _SPACE[raw]
+        mark = space.copy()
+        mark[1:] &= ~space[:-1]
+        mark[firsts[firsts < len(raw)]] = True
+        starts = np.nonzero(mark)[0]
+        lengths = np.diff(starts, append=len(raw))
+        short = np.nonzero(lengths <= KEY)[0]
+        padded = np.concatenate([raw, np.zeros(KEY, dtype=np.uint8)])
+        keys = np.lib.stride_tricks.sliding_window_view(padded, KEY)[starts[short]]
+        keys[np.arange(KEY) >= lengths[short, None]] = 0
+        low, high = keys.view("<u8").T
+        mixed = (low * np.uint64(0x9E3779B97F4A7C15) ^ high * np.uint64(0xD1342543DE82EF95)) + lengths[short].astype(np.uint64)
+        order = np.argsort(mixed ^ mixed >> np.uint64(32))
+        low, high, size = low[order], high[order], lengths[short][order]
+        # Neighbours are compared as they are, so equal hashes of different units do no harm.
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1]) | (size[1:] != size[:-1])
+        long_ = np.nonzero(lengths > KEY)[0]
+        which = np.empty(len(starts), dtype=np.int64)
+        which[short[order]] = np.cumsum(new) - 1
+        which[long_] = new.sum() + np.arange(len(long_))
+        picked = np.concatenate([short[order[new]], long_])
+        at, n = starts[picked], lengths[picked]
+        # Without white space before them texts' first words get a line feed, whose id goes again; those of white space alone stand apart.
+        bare, bound = space[at + n - 1], ~space[at]
+        spelt = np.full(int((n + bound)[~bare].sum()), ord("\n"), dtype=np.uint8)
+        spelt[_ragged(np.cumsum((n + bound)[~bare]) - n[~bare], n[~bare])] = raw[_ragged(at[~bare], n[~bare])]
+        ids = self._merged(spelt.tobytes().decode())
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum((n + bound)[~bare])) + 1
+        first, count = np.zeros(len(picked), dtype=np.int64), np.zeros(len(picked), dtype=np.int64)
+        first[~bare] = np.concatenate([[0], ends[:-1]])[: len(ends)] + bound[~bare]
+        count[~bare] = np.diff(ends, prepend=0) - bound[~bare]
+        for k in np.nonzero(bare)[0]:
+            own = self._merged(raw[at[k] : at[k] + n[k]].tobytes().decode())
+            first[k], count[k] = len(ids), len(own)
+            ids = np.concatenate([ids, own])
+        per_unit = count[which]
+        so_far = np.concatenate([[0], np.cumsum(per_unit)])
+        return ids[_ragged(first[which], per_unit)], so_far[np.searchsorted(starts, firsts)]
+
+    def _plain(self, raw: np.ndarray, places: np.ndarray, lo: int, hi: int) -> Iterator[np.ndarray]:
+        parts = []
+        for i, j, a, b, more in slices(raw, places, lo, hi, SLICE, _SPACE):
+            if a == b:
+                found = [np.zeros(0, dtype="<u4")] * (j - i)
+            else:
+                ids, at = self._slice(raw[a:b], np.maximum(places[i:j] - a, 0))
+                found = np.split(ids, at[1:])
+            if more or parts:
+                parts.append(found[0])
+            if not more:
+                yield from [np.concatenate(parts)] if parts else found
+                parts = []
+
+    def column(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Each text's ids in order, as little-endian unsigned 32-bit integers; null is empty."""
+        raw, places = buffers(texts)
+        lo = 0
+        for k in range(len(texts)):
+            own = raw[places[k] : places[k + 1]].tobytes()
+            text = None if own.isascii() else own.decode("utf-8", "replace")
+            if text is not None and not _ODD.search(text):
+                text = None
+            if text is None and any(x.encode() in own for x in self.special):
+                text = own.decode()
+            if text is not None:
+                yield from self._plain(raw, places, lo, k)
+                yield np.frombuffer(self.whole([text])[0], dtype="<u4")
+                lo = k + 1
+        yield from self._plain(raw, places, lo, len(texts))
 
-    def word(self, word: str) -> bytes:
-        """Of a word with what precedes it. A word of letters and then other signs has two pieces, which needs no pattern."""
-        letters = word.rstrip(".,;:!?%$#&*|)\"-")
-        if word[0] == " " and letters[1:].isalpha():
-            found = self._part(letters.encode().decode("latin-1").translate(self._letters))
-            return found + self._part(word[len(letters) :]) if len(letters) < len(word) else found
-        return b"".join(self._part(part) for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(word))
 
-    def trim(self, most: int) -> None:
-        for kept in (self.words, self._parts):
-            if len(kept) > most:
-                kept.clear()
+_encoder = functools.cache(_Encoder)
 
 
-_encoder = functools.cache(_Encoder)
+def token_ids(texts: list[str | None], path: str = TOKENIZER, ranks: str = RANKS) -> list[bytes]:
+    """Each text's ids as little-endian unsigned 32-bit integers; null is empty."""
+    return [x.tobytes() for x in _encoder(path, ranks).column(pa.array(texts, pa.large_string()))]
 
 
-def token_ids(texts: list[str | None], path: str = TOKENIZER) -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit integers; null is empty.
+_NAMES = ("doc_id", "piece", "start", "length", "ids_crc32")
+_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
 
-    The tokenizer's own pattern never joins a word with what precedes the white space before it, nor looks beyond the
-    end of a run of other characters. So where every white-space run is one space or one line feed, a text's ids are
-    those of its words, each with the white space before it, and words are encoded once. Other texts, and those that hold one of the tokenizer's
-    added tokens, are encoded whole.
-    """
-    encoder = _encoder(path)
-    encoder.trim(CACHE)
-    known = encoder.words
-    cut: list[list[str] | None] = []
-    whole: list[str] = []
-    for text in texts:
-        text = text or ""
-        # the words joined by spaces are the text: nothing but single spaces and line feeds lies between words
-        if text and " ".join(text.split()) == text.replace("\n", " ") and not any(x in text for x in encoder.special):
-            parts = text.replace("\n", " \n").split(" ")
-            parts[0] = "\r" + parts[0]  # the mark of a first word, which has no space before it
-            cut.append(parts)
-            for p in parts:
-                if p not in known:
-                    known[p] = encoder.word(p if p[0] == "\n" else p[1:] if p[0] == "\r" else " " + p)
-        else:
-            cut.append(None)
-            whole.append(text)
-    rest = iter(encoder.whole(whole))
-    return [b"".join(map(known.__getitem__, parts)) if parts else next(rest) for parts in cut]
-
-
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: int) -> Iterator[pa.RecordBatch]:
+
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, ranks: str, capacity: int, end: int) -> Iterator[pa.RecordBatch]:
     last = np.array([end], dtype="<u4").tobytes()
+    encoder = _encoder(path, ranks)
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            rows = []
-            for doc_id, ids in zip(part.column(0).to_pylist(), token_ids(part.column(1).to_pylist(), path), strict=True):
-                ids += last
-                n = len(ids) // 4
-                starts = [0, *range(n % capacity or capacity, n, capacity)]
-                for k, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):
-                    rows.append((doc_id, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        rows = []
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.column(batch.column(1)), strict=True):
+            n = len(ids) + 1
+            own = ids.tobytes() + last
+            starts = [0, *range(n % capacity or capacity, n, capacity)]
+            for k, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):
+                rows.append((doc_id, k, a, b - a, zlib.crc32(own[4 * a : 4 * b])))
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
+
 
+def pieces(docs: DataFrame, path: str = TOKENIZER, capacity: int = CAPACITY, end: int = END, ranks: str = RANKS) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32): a document's ids and the end id.
 
-def pieces(docs: DataFrame, path: str = TOKENIZER, capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): a document's ids and the end id, cut only where they exceed the capacity; the first piece takes the remainder."""
-    read = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return read.mapInArrow(functools.partial(_pieces, path=path, capacity=capacity, end=end), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    Only what exceeds the capacity is cut; the first piece takes the remainder.
+    """
+    read = in_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    cut = functools.partial(_pieces, path=path, ranks=ranks, capacity=capacity, end=end)
+    return read.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 #: A slot: pieces of `length` with ranks first..first+count-1 go to sequences sequence..sequence+count-1, at offset.
@@ -214,21 +268,26 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Slot]:
     return packer.slots
 
 
-def pack(docs: DataFrame, path: str = TOKENIZER, capacity: int = CAPACITY, end: int = END) -> DataFrame:
+def pack(docs: DataFrame, path: str = TOKENIZER, capacity: int = CAPACITY, end: int = END, ranks: str = RANKS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row a piece.
 
     A null text is empty and has the end id alone. Repeated rows are packed each; rows without a doc_id too. Further
     columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    cut = materialise(pieces(docs, path, capacity, end), "pieces")
+    cut = materialise(pieces(docs, path, capacity, end, ranks), "pieces")
     counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
-    salts = max(1, sum(counts.values()) // SALT_ROWS)
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+    # The more pieces a length has the more salts, so that ranks within it are taken by many tasks.
+    dealt = spark.createDataFrame([(w, 1 + n // SALT_ROWS) for w, n in counts.items()], "of long, salts long")
+    salted = cut.join(F.broadcast(dealt), F.col("length") == F.col("of"))
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))).drop("of", "salts")
     before = salted.groupBy("length", "salt").count()
-    before = before.select(F.col("length").alias("l"), F.col("salt").alias("s"), (F.sum("count").over(Window.partitionBy("length").orderBy("salt")) - F.col("count")).alias("base"))
-    ranked = salted.withColumn("nth", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")))
-    ranked = ranked.join(before, (F.col("length") == F.col("l")) & (F.col("salt") == F.col("s"))).withColumn("rank", F.col("base") + F.col("nth") - 1)
+    so_far = F.sum("count").over(Window.partitionBy("length").orderBy("salt")) - F.col("count")
+    before = before.select(F.col("length").alias("l"), F.col("salt").alias("s"), so_far.alias("base"))
+    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    ranked = salted.withColumn("nth", F.row_number().over(within))
+    ranked = ranked.join(before, (F.col("length") == F.col("l")) & (F.col("salt") == F.col("s")))
+    ranked = ranked.withColumn("rank", F.col("base") + F.col("nth") - 1)
     slots = spark.createDataFrame([(w, r, r + c, s, o) for w, r, c, s, o in plan(counts, capacity)], "w long, lo long, hi long, sequence long, offset long")
     # The plan's rows follow from the histogram's, of which there are at most `capacity`: a bounded broadcast.
     found = ranked.join(F.broadcast(slots), (F.col("length") == F.col("w")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
