@@ -9,7 +9,6 @@ driver, by backpropagation through time, from windows of a bounded sample of lab
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnbeck.llm.common import table
+from tarnbeck.llm.common import in_batches, table
 
 WINDOW = 64
 HIDDEN = 8
@@ -33,7 +32,10 @@ PAD = 256
 SIDE = 2048
 #: The stage lets documents go whose best language has less than this.
 LEAST_SCORE = 0.3
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def _has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
 
 @dataclass(frozen=True)
@@ -182,7 +184,7 @@ def predict(texts: list[str | None], model: Model) -> list[tuple[str, float]]:
     found = [("und", 0.0)] * len(texts)
     if not model.languages:
         return found
-    at = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+    at = [i for i, t in enumerate(texts) if t and _has_letter(t)]
     totals = np.zeros((len(texts), len(model.languages)))
     parts, owners, held = [], [], 0
 
@@ -232,7 +234,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, windows: int = SAMPLE_WINDOWS)
     text = F.col("text").cast("string")
     spots = [F.substring(text, (F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(k)), F.greatest(F.length(text) - WINDOW, F.lit(1))) + 1).cast("int"), F.lit(WINDOW)) for k in range(windows)]
     picked = learn.where(mark <= marks[-1]).select(mark.alias("m"), F.col("lang").cast("string").alias("lang"), F.array(*spots).alias("spots")).orderBy("m", "lang").limit(rows).collect()
-    return train([(r.lang, s) for r in picked for s in r.spots if s and _LETTER.search(s)])
+    return train([(r.lang, s) for r in picked for s in r.spots if s and _has_letter(s)])
 
 
 def _label(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -244,7 +246,7 @@ def _label(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
 def label(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, lang_pred, score), one row per row of docs; held_out is false without a doc_id. Further columns are not read."""
     read = docs.select(F.col("doc_id").cast("long"), F.coalesce(_remainder() == 1, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return read.mapInArrow(functools.partial(_label, model=model), "doc_id long, held_out boolean, lang_pred string, score double")
+    return in_batches(read).mapInArrow(functools.partial(_label, model=model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,8 +261,8 @@ def _keep(batches: Iterator[pa.RecordBatch], model: Model, column: int) -> Itera
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage: documents go that have no letters or whose language stays unclear. The model learns from the documents at hand."""
-    return docs.mapInArrow(functools.partial(_keep, model=fit(docs), column=docs.columns.index("text")), docs.schema)
+    """Stage: documents go whose text is null or has no letters, or whose language stays unclear. The model learns from the documents at hand."""
+    return in_batches(docs).mapInArrow(functools.partial(_keep, model=fit(docs), column=docs.columns.index("text")), docs.schema)
 
 
 QUERIES = {"op7_language": op7_language}

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnbeck.llm.common import components, materialise, table
+from tarnbeck.llm.common import components, in_batches, materialise, table
 
 SHINGLE = 3
 DISTANCE = 3
@@ -49,7 +49,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp): fp holds the unsigned fingerprint's bits in a long."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_fingerprints, "doc_id long, fp long")
+    return in_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))).mapInArrow(_fingerprints, "doc_id long, fp long")
 
 
 def _pair_or(x: Column) -> Column:
