@@ -3,8 +3,9 @@
 A text becomes its words, lower-cased and joined by single spaces. A cheap test of a few substrings gates everything
 else; in texts that pass it, one pattern collects the keywords present, and only rules with one of them are matched.
 Rules are families of names times phrase templates, several hundred patterns, each with a priority and a weight. Spans
-of words are sorted by start, longest and highest priority first; one sweep suppresses a span that lies within a kept
-span of no lower priority. Base phrases are found beside the rules and always stay.
+of words are sorted by start, longest and highest priority first; one sweep, which holds the kept spans that are still
+open, suppresses a span that lies within a kept one of no lower priority. Base phrases are found beside the rules and
+always stay.
 """
 
 from __future__ import annotations
@@ -150,10 +151,10 @@ def scan(docs: DataFrame) -> DataFrame:
     at = f"x.h[i div {CHUNK}] + aggregate(slice(x.l, cast(i div {CHUNK} * {CHUNK} + 1 as int), i % {CHUNK}), 0, (a, y) -> a + y) + {words.format('x.g[i]')} - 1"
     # Sorted by start, then longest, then highest priority: what contains a span comes before it.
     df = df.withColumn("_s", F.expr(f"array_sort(flatten(transform(_m, x -> transform(transform(x.f, (m, i) -> struct({at} as s, m as m)), y -> struct(y.s as s, -(y.s + {words.format('y.m')} + 1) as ne, -x.pr as np, x.label as label, x.w as w)))))"))
-    sweep = """aggregate(_s, struct(-1 as e, 0 as pr, cast(array() as array<struct<label:string,w:double>>) as kept),
-      (acc, x) -> if(-x.ne <= acc.e and acc.pr >= -x.np, acc,
-        struct(greatest(acc.e, -x.ne) as e, if(-x.ne > acc.e, -x.np, acc.pr) as pr, array_union(acc.kept, array(struct(x.label as label, x.w as w))) as kept)),
-      acc -> acc.kept)"""
+    step = """if(exists(acc.open, o -> o.e >= -x.ne and o.pr >= -x.np), acc,
+        struct(concat(filter(acc.open, o -> o.e > x.s), array(struct(-x.ne as e, -x.np as pr))) as open, array_union(acc.kept, array(struct(x.label as label, x.w as w))) as kept))"""
+    start = "struct(cast(array() as array<struct<e:int,pr:int>>) as open, cast(array() as array<struct<label:string,w:double>>) as kept)"
+    sweep = f"aggregate(_s, {start}, (acc, x) -> {step}, acc -> acc.kept)"
     return df.select("doc_id", "n_words", "base", F.coalesce(F.expr(sweep), F.expr("cast(array() as array<struct<label:string,w:double>>)")).alias("kept"))
 
 
