@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnbeck.llm.common import table
+from tarnbeck.llm.common import in_batches, table
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)[^>]*>""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden|aria-label)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -366,7 +366,7 @@ def _extract(batches: Iterator[pa.RecordBatch], w: dict[str, float]) -> Iterator
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars), one row per row of pages; a null or empty page has the text "". Further columns are not read."""
     read = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    return read.mapInArrow(functools.partial(_extract, w=dict(model())), "page_id long, url string, text string, n_chars long")
+    return in_batches(read).mapInArrow(functools.partial(_extract, w=dict(model())), "page_id long, url string, text string, n_chars long")
 
 
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:

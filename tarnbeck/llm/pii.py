@@ -2,10 +2,10 @@
 
 Base spans (email, ip, card, phone) follow fixed patterns with their checks and always stay. Further generators propose
 candidates with high recall, which may overlap: numbers written in groups, identity numbers, bank accounts, hardware
-and IPv6 addresses, spelt-out mail addresses. Boosted trees over format and context features score them, a calibration
-turns scores into probabilities, and candidates over the calibrated threshold are redacted, the likelier of two that
-overlap, none that overlaps a base span. The trees are trained on the driver from generated labelled candidates and
-enter the plan as nested conditions.
+and IPv6 addresses, spelt-out mail addresses, keys and tokens, passwords. Boosted trees over format and context features
+score them, a calibration turns scores into probabilities, and candidates over the calibrated threshold are redacted, the
+likeliest first of those that overlap, none that overlaps a base span. The trees are trained on the driver from generated
+labelled candidates and enter the plan as nested conditions.
 
 The patterns are written so that Java's matcher runs in constant stack on any text: repeated groups become classes, as
 each dot between labels (or separator between digits) is first replaced by one control character, which keeps offsets.
@@ -39,27 +39,32 @@ GENERATORS = [
     ("hardware_address", r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![0-9A-Za-z:])", "[0-9A-Fa-f]{2}[:-][0-9A-Fa-f]{2}"),
     ("ipv6", r"(?<![0-9A-Za-z:])(?:[0-9a-fA-F]{1,4}:){3,7}(?::?[0-9a-fA-F]{1,4}){1,4}(?![0-9A-Za-z:])", "[0-9a-fA-F]:[0-9a-fA-F]"),
     ("spelt_email", r"(?<![A-Za-z0-9._+-])[A-Za-z0-9._+-]{1,64} ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63} ?[(\[]dot[)\]] ?[A-Za-z]{2,12}(?![A-Za-z])", "[(\\[]at[)\\]]"),
+    ("secret", r"(?<![0-9A-Za-z_+/=-])[0-9A-Za-z_+/=-]{20,512}(?![0-9A-Za-z_+/=-])", "[0-9A-Za-z_+/=-]{20}"),
+    ("password", r"(?i:password|passphrase|passwd|pwd)[\"']? ?[:=] ?[\"']?[^ \t\r\n\"',;]{4,64}", "(?i)pass(?:word|phrase|wd)|pwd"),
 ]
+#: Kinds that may stand in texts without a digit.
+WORDY = ("spelt_email", "password")
 KINDS = [*BASE, *(g[0] for g in GENERATORS)]
 CUES = {
     "cue_phone": r"(?i)(?:phone|tel|call|fax|mobile|cell)[^0-9A-Za-z]",
     "cue_identity": r"(?i)(?:ssn|social|identity|passport)[^0-9]",
     "cue_bank": r"(?i)(?:iban|account|bank|konto|cuenta)",
+    "cue_secret": r"(?i)(?:token|secret|key|auth|bearer|credential|sha)[^0-9A-Za-z]",
     "cue_other": r"(?i)(?:date|version|isbn|order|invoice|page|chapter|section|serial|build|rfc|no\.)",
 }
-FEATURES = ["kind", "length", "digits", "spaces", "dots", "dashes", "slashes", "letters", "repeats", *CUES]
+FEATURES = ["kind", "length", "digits", "spaces", "dots", "dashes", "slashes", "letters", "upper", "signs", "repeats", *CUES]
 
 
 def features(kind: int, match: str, before: str) -> list[float]:
     """What the trees see; _features() is the same in SQL."""
     digits = re.sub(r"[^0-9]", "", match)
-    return [kind, len(match), len(digits), match.count(" "), match.count("."), match.count("-"), match.count("/"), len(re.sub(r"[^A-Za-z]", "", match)), float(len(digits) > 0 and digits == digits[:1] * len(digits)), *(float(re.search(p, before) is not None) for p in CUES.values())]
+    return [kind, len(match), len(digits), match.count(" "), match.count("."), match.count("-"), match.count("/"), len(re.sub(r"[^A-Za-z]", "", match)), len(re.sub(r"[^A-Z]", "", match)), len(set(match.lower())), float(len(digits) > 0 and digits == digits[:1] * len(digits)), *(float(re.search(p, before) is not None) for p in CUES.values())]
 
 
 def _features(kind: str, match: str, before: str) -> list[str]:
     count = lambda c: f"length({match}) - length(replace({match}, '{c}', ''))"
     digits = f"regexp_replace({match}, '[^0-9]', '')"
-    return [kind, f"length({match})", f"length({digits})", count(" "), count("."), count("-"), count("/"), f"length(regexp_replace({match}, '[^A-Za-z]', ''))", f"if(length({digits}) > 0 and {digits} = repeat(left({digits}, 1), length({digits})), 1, 0)", *(f"if({before} rlike r'{p}', 1, 0)" for p in CUES.values())]
+    return [kind, f"length({match})", f"length({digits})", count(" "), count("."), count("-"), count("/"), f"length(regexp_replace({match}, '[^A-Za-z]', ''))", f"length(regexp_replace({match}, '[^A-Z]', ''))", f"size(array_distinct(split(lower({match}), '')))", f"if(length({digits}) > 0 and {digits} = repeat(left({digits}, 1), length({digits})), 1, 0)", *(f"if({before} rlike r'{p}', 1, 0)" for p in CUES.values())]
 
 
 def labelled(n: int = 4000, seed: int = 7) -> list[tuple[int, str, str, int]]:
@@ -67,6 +72,7 @@ def labelled(n: int = 4000, seed: int = 7) -> list[tuple[int, str, str, int]]:
     r = random.Random(seed)
     d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
     h = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k))
+    mixed = lambda k: "".join(r.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789") for _ in range(k))
     word = lambda: "".join(r.choice("aeioulnrst") for _ in range(r.randint(2, 8)))
     made = {
         "grouped_number": ([lambda: f"({d(3)}) {d(3)}-{d(4)}", lambda: f"{d(3)}-{d(3)}-{d(4)}", lambda: f"0{d(2)} {d(3)} {d(4)}", lambda: f"0{d(1)}.{d(2)}.{d(2)}.{d(2)}"], [lambda: f"20{d(2)}-0{r.randint(1, 9)}-{r.randint(10, 28)}", lambda: f"{r.randint(10, 28)}/{r.randint(10, 12)}/20{d(2)}", lambda: f"{d(2)}.{d(2)}.{d(2)}", lambda: f"{d(2)} {d(3)} {d(2)}"]),
@@ -75,8 +81,10 @@ def labelled(n: int = 4000, seed: int = 7) -> list[tuple[int, str, str, int]]:
         "hardware_address": ([lambda: ":".join(h(2) for _ in range(6))], [lambda: "-".join(d(2) for _ in range(6))]),
         "ipv6": ([lambda: ":".join(h(4) for _ in range(8))], [lambda: ":".join(d(2) for _ in range(5)), lambda: ":".join(d(1) for _ in range(6))]),
         "spelt_email": ([lambda: f"{word()} (at) {word()} (dot) com", lambda: f"{word()}.{word()}[at]{word()}[dot]org"], []),
+        "secret": ([lambda: h(r.choice([32, 40, 64])), lambda: mixed(r.randint(20, 64)), lambda: "AKIA" + mixed(16).upper(), lambda: "sk-" + mixed(40)], [lambda: "".join(word() for _ in range(8))[:40].ljust(20, "e"), lambda: "_".join([word(), word(), word(), word(), word(), d(1)]).ljust(20, "a"), lambda: "-".join(word() for _ in range(7)).ljust(20, "a"), lambda: r.choice("=-_") * r.randint(20, 60), lambda: d(r.randint(20, 30)), lambda: "/".join([word(), word(), word(), word(), d(4)]).rjust(20, "/")]),
+        "password": ([lambda: f"{r.choice(['password', 'pwd', 'Passwd'])}{r.choice([': ', '=', ' = '])}{mixed(r.randint(6, 16))}"], [lambda: f"password: {r.choice(['none', 'required', 'yours', 'empty', 'hidden', 'reset'])}"]),
     }
-    good = {"grouped_number": ["phone: ", "call me, tel. ", "fax ", "mobile: "], "identity_number": ["SSN: ", "social security "], "bank_account": ["IBAN ", "bank account: "]}
+    good = {"grouped_number": ["phone: ", "call me, tel. ", "fax ", "mobile: "], "identity_number": ["SSN: ", "social security "], "bank_account": ["IBAN ", "bank account: "], "secret": ["token = ", "api_key: ", "secret=", "Bearer ", "key: "]}
     bad = ["date: ", "version ", "order no. ", "invoice ", "ISBN ", "page ", "serial "]
     rows = []
     for _ in range(n):
@@ -158,16 +166,38 @@ def _spans(df: DataFrame, name: str, text: Column, pattern: str, gate: Column, k
     df = df.withColumn("_g", F.when(F.size("_f") > 0, F.split("_t", pattern, -1)).otherwise(none))
     df = df.withColumn("_l", F.expr("transform(_f, (m, i) -> length(m) + length(_g[i]))"))
     df = df.withColumn("_c", F.expr(f"transform(sequence(0, size(_l) div {CHUNK}), c -> aggregate(slice(_l, cast(c * {CHUNK} + 1 as int), {CHUNK}), 0, (a, x) -> a + x))"))
-    df = df.withColumn("_h", F.expr("transform(_c, (s, c) -> aggregate(slice(_c, 1, c), 0, (a, x) -> a + x))"))
+    df = df.withColumn("_h", running("_c"))
     at = f"_h[i div {CHUNK}] + aggregate(slice(_l, cast(i div {CHUNK} * {CHUNK} + 1 as int), i % {CHUNK}), 0, (a, x) -> a + x) + length(_g[i])"
     df = df.withColumn(name, F.expr(f"transform(transform(_f, (m, i) -> struct({at} as s, m as m)), x -> struct(x.s as s, {kind} as k, x.s + length(x.m) as e, x.m as m))"))
     return df.drop("_t", "_f", "_g", "_l", "_c", "_h")
 
 
+def running(sums: str) -> Column:
+    """What stands before each of a column's sums, added up: over CHUNK of them at a time, then over those."""
+    add = "(a, x) -> a + x"
+    part = f"aggregate(slice({sums}, cast(d * {CHUNK} + 1 as int), {CHUNK}), 0, {add})"
+    before = f"transform(transform(sequence(0, size({sums}) div {CHUNK}), d -> {part}), (s, d) -> struct(s as s, d as d))"
+    own = f"aggregate(slice({sums}, cast(c div {CHUNK} * {CHUNK} + 1 as int), c % {CHUNK}), 0, {add})"
+    above = f"transform({before}, (y, d) -> aggregate(slice({before}, 1, d), 0, (a, z) -> a + z.s))"
+    return F.expr(f"transform({sums}, (s, c) -> {own} + element_at({above}, cast(c div {CHUNK} + 1 as int)))")
+
+
 def _luhn(digits: str) -> str:
     return f"aggregate(transform(sequence(1, length({digits})), i -> (if(i % 2 = 0, 2, 1) * int(substr({digits}, -i, 1))) div 10 + (if(i % 2 = 0, 2, 1) * int(substr({digits}, -i, 1))) % 10), 0L, (a, x) -> a + x) % 10 = 0"
 
 
+def _likeliest(spans: str) -> str:
+    """Of spans (x, p) those that overlap none likelier that is itself kept: taken likeliest first within each run of overlapping ones."""
+    kind = "array<struct<x:struct<s:int,k:int,e:int,m:string>,p:double>>"
+    none = f"cast(array() as {kind})"
+    order = "(a, b) -> case when a.p > b.p then -1 when a.p < b.p then 1 when a.x.s < b.x.s then -1 when a.x.s > b.x.s then 1 else a.x.k - b.x.k end"
+    best = f"aggregate(array_sort(%s, {order}), {none}, (kept, a) -> if(exists(kept, b -> a.x.s < b.x.e and b.x.s < a.x.e), kept, concat(kept, array(a))))"
+    step = f"""if(y.x.s >= acc.to, struct(concat(acc.kept, {best % 'acc.run'}) as kept, array(y) as run, y.x.e as to),
+                  struct(acc.kept as kept, concat(acc.run, array(y)) as run, greatest(acc.to, y.x.e) as to))"""
+    by_start = f"array_sort({spans}, (a, b) -> case when a.x.s != b.x.s then a.x.s - b.x.s else a.x.k - b.x.k end)"
+    return f"aggregate({by_start}, struct({none} as kept, {none} as run, 0 as to), (acc, y) -> {step}, acc -> concat(acc.kept, {best % 'acc.run'}))"
+
+
 def find(docs: DataFrame, carry: bool = False) -> DataFrame:
     """(doc_id, text, base, extra): spans as arrays of (s, k, e, m) by start, then kind; null texts are empty.
 
@@ -194,7 +224,7 @@ def find(docs: DataFrame, carry: bool = False) -> DataFrame:
     df = df.withColumn("phone", F.expr("filter(phone, x -> length(regexp_replace(x.m, '[^0-9]', '')) between 9 and 15)"))
     df = df.withColumn("base", F.array_sort(F.concat("email", "ip", "card", "phone")))
     for i, (kind, pattern, gate) in enumerate(GENERATORS):
-        df = _spans(df, f"c_{kind}", text, pattern, (text.contains("at") & text.rlike(gate)) if kind == "spelt_email" else F.col("_digit") & text.rlike(gate), len(BASE) + i)
+        df = _spans(df, f"c_{kind}", text, pattern, (text.contains("at") & text.rlike(gate)) if kind == "spelt_email" else text.rlike(gate) if kind in WORDY else F.col("_digit") & text.rlike(gate), len(BASE) + i)
     trees, threshold = model()
     score = " + ".join(_tree_sql(t, [f"f[{j}]" for j in range(len(FEATURES))]) for t in trees)
     vector = ", ".join(f"cast({x} as double)" for x in _features("x.k", "x.m", "b"))
@@ -202,10 +232,8 @@ def find(docs: DataFrame, carry: bool = False) -> DataFrame:
     seen = f"transform(_all, x -> struct(x as x, substr(text, greatest(x.s - {CONTEXT}, 0) + 1, x.s - greatest(x.s - {CONTEXT}, 0)) as b))"
     vectors = f"transform({seen}, y -> struct(y.x as x, array({vector.replace('x.', 'y.x.').replace('(b rlike', '(y.b rlike')}) as f))"
     df = df.withColumn("_scored", F.when(F.size("_all") > 0, F.expr(f"transform({vectors}, z -> struct(z.x as x, {score.replace('f[', 'z.f[')} as p))")))
-    over = "a.x.s < b.x.e and b.x.s < a.x.e"
     df = df.withColumn("_picked", F.expr(f"filter(_scored, a -> a.p >= double('{threshold!r}') and not exists(base, b -> a.x.s < b.e and b.s < a.x.e))"))
-    kept = f"filter(_picked, a -> not exists(_picked, b -> {over} and (b.p, -b.x.s, -b.x.k) > (a.p, -a.x.s, -a.x.k)))"
-    extra = F.coalesce(F.expr(f"array_sort(transform({kept}, a -> a.x))"), F.array().cast(SPAN))
+    extra = F.coalesce(F.expr(f"array_sort(transform(if(size(_picked) > 1, {_likeliest('_picked')}, _picked), a -> a.x))"), F.array().cast(SPAN))
     return df.select("doc_id", "text", "base", extra.alias("extra"), *(["carried"] if carry else []))
 
 
@@ -217,7 +245,7 @@ def _joined(spans: str) -> Column:
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"))
     counts = [F.expr(f"cast(size(filter(base, x -> x.k = {i})) as long)").alias(f"n_{k}") for i, k in enumerate(BASE)]
-    return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("array_sort(concat(base, extra))").alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("array_sort(concat(base, extra))").alias("spans"), (F.size("base") + F.size("extra")).cast("long").alias("n_spans"))
 
 
 def redact_text() -> Column:
