@@ -169,9 +169,17 @@ def share(counts: DataFrame, column: str = "n") -> DataFrame:
 
 def bigram_penalty(tokens: Column) -> Column:
     """-2 for none or under 0.3 distinct bigrams, -1 under 0.5, else 0; under 20 tokens always 0."""
-    pairs = F.zip_with(F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))), F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    ratio = F.size(F.array_distinct(pairs)) / F.size(pairs)
-    return F.when(F.size(tokens) == 0, -2.0).when(F.size(tokens) < 20, 0.0).when(ratio < 0.3, -2.0).when(ratio < 0.5, -1.0).otherwise(0.0)
+    # A let, so that the tokens are made once; pairs are spelt as strings, which are told apart by hash, and the length
+    # keeps two pairs of one spelling apart.
+    return F.transform(F.array(tokens), _penalty)[0]
+
+
+def _penalty(tokens: Column) -> Column:
+    many = F.greatest(F.size(tokens) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(tokens, 1, many), F.slice(tokens, 2, many), lambda a, b: F.concat(F.length(a).cast("string"), F.lit(":"), a, b))
+    of = lambda ratio: F.when(ratio < 0.3, -2.0).when(ratio < 0.5, -1.0).otherwise(0.0)
+    ratio = F.transform(F.array(F.size(F.array_distinct(pairs)) / many), of)[0]
+    return F.when(F.size(tokens) == 0, -2.0).when(F.size(tokens) < 20, 0.0).otherwise(ratio)
 
 
 def thread_stats(messages: DataFrame) -> DataFrame:

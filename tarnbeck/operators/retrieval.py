@@ -48,26 +48,35 @@ def embed(docs: DataFrame, model: Callable, text: str = "text", prefix: str = ""
     return docs.join(once, text, "left")
 
 
+#: Distinct terms of queries that are broadcast at most.
+ASKED = 100_000
+
+
 def tokens(c: Column) -> Column:
-    return F.filter(F.split(c, r"\s+", -1), lambda t: t != "")
+    return F.array_remove(F.split(c, r"\s+", -1), "")
 
 
 def bm25(docs: DataFrame, queries: DataFrame, k: int | None = None, key: str = "id", text: str = "text", k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
     """(qid, key, score, rank) by Okapi BM25 over white-space tokens; idf below 0 becomes epsilon times the mean idf.
 
-    Only terms of the queries are counted by document; lengths and document frequencies cover all.
+    Document frequencies cover all terms, each once a document and added up before they are dealt out; counts within
+    documents are of the queries' terms alone, which are a stated set: broadcast up to ASKED of them, else joined by
+    hash. Ranks compare scores to six digits, so that the order of additions decides nothing; ties go by key.
     """
     words = docs.select(key, tokens(F.col(text)).alias("t"))
     facts = words.agg(F.count("*").alias("n_docs"), F.avg(F.size("t")).alias("mean_length"))
-    terms = words.select(key, F.size("t").alias("length"), F.explode("t").alias("term")).groupBy(key, "length", "term").agg(F.count("*").alias("tf"))
-    df = terms.groupBy("term").agg(F.count("*").alias("df"))
+    asked = queries.select("qid", F.explode(tokens(F.col("query"))).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("times"))
+    sought = asked.select("term").distinct()
+    sought = F.broadcast(sought) if sought.limit(ASKED + 1).count() <= ASKED else sought
+    some = words.select(key, F.size("t").alias("length"), F.explode("t").alias("term")).join(sought, "term", "left_semi")
+    terms = some.groupBy(key, "length", "term").agg(F.count("*").alias("tf"))
+    df = words.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     idf = df.crossJoin(F.broadcast(facts)).withColumn("raw", F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     floor = idf.agg((epsilon * F.avg("raw")).alias("least"))
     idf = idf.crossJoin(F.broadcast(floor)).select("term", F.when(F.col("raw") < 0, F.col("least")).otherwise(F.col("raw")).alias("idf"), "mean_length")
-    asked = queries.select("qid", F.explode(tokens(F.col("query"))).alias("term")).groupBy("qid", "term").agg(F.count("*").alias("times"))
     part = F.col("times") * F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean_length")))
     scored = asked.join(idf, "term").join(terms, "term").groupBy("qid", key).agg(F.sum(part).alias("score"))
-    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), key)))
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc(F.round("score", 6)), key)))
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnbeck.operators import analytics as A
+from tarnbeck.operators.walks import walk
 from tarnbeck.plans.views import COUNTABLE, END, FEEDBACK, MESSAGES, START, TURNS, feedback, messages, table, turns
 
 QUERIES, ORACLES = {}, {}
@@ -100,12 +101,21 @@ def a14_top_tags(spark: SparkSession, d: str) -> DataFrame:
     return A.top_tags(feedback(spark, d))
 
 
-@query()
+#: The ratings as a list by model, one step a game; all models and their games won and lost.
+_ELO = f"""with recursive games as (select row_number() over (order by created_at, id, j) k, model_id w, siblings[j] o, case when rating::int > 0 then 1 else 0 end s from {FEEDBACK}, (select unnest([1, 2]) j)),
+ names as (select list_sort(list(distinct m)) ms from (select w m from games union select o from games)), places as (select k, list_position(ms, w) wi, list_position(ms, o) oi, s from games, names),
+ t as (select 0::bigint k, list_transform(ms, lambda x: 1000.0::double) r from names union all
+  select p.k, list_transform(t.r, lambda x, i: case when i = wi then x + 32 * (s - 1 / (1 + 10 ** ((t.r[oi] - t.r[wi]) / 400))) when i = oi then x - 32 * (s - 1 / (1 + 10 ** ((t.r[oi] - t.r[wi]) / 400))) else x end) from t join places p on p.k = t.k + 1),
+ ended as (select unnest(ms) model_id, unnest(r) rating from names, (select r from t order by k desc limit 1)),
+ tally as (select m, sum(n)::bigint won, sum(1 - n)::bigint lost from (select w m, s n from games union all select o, 1 - s from games) group by 1)"""
+
+
+@query(_ELO + " select model_id, round(rating, 6) rating, won, lost from ended join tally on m = model_id")
 def a15_elo(spark: SparkSession, d: str) -> DataFrame:
-    return A.elo(feedback(spark, d))
+    return A.elo(feedback(spark, d)).withColumn("rating", F.round("rating", 6))
 
 
-@query()
+@query(_ELO + " select model_id, round_even(rating, 0)::bigint rating, won, lost, won + lost n from ended join tally on m = model_id")
 def a16_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     return A.leaderboard(A.elo(feedback(spark, d)))
 
@@ -121,9 +131,9 @@ def a19_count_in_list(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").where(F.col("c_nationkey").isin(1, 3, 5, 7)).groupBy("c_nationkey").agg(F.count("*").alias("n"))
 
 
-@query(f"select chat_id from (select distinct chat_id, user_id from {MESSAGES} where id < 2000) group by 1 having count(*) = 2 and sum(case when user_id in ('u1', 'u2') then 1 else 0 end) = 2 union select chat_id from (select distinct id chat_id, user_id from {MESSAGES} where id < 2000) group by 1 having count(*) = 1 and sum(case when user_id in ('u11') then 1 else 0 end) = 1".replace("id chat_id", "'m' || id chat_id"))
+@query(f"select chat_id from (select distinct chat_id, user_id from {MESSAGES}) group by 1 having count(*) = 2 and sum(case when user_id in ('u1', 'u2') then 1 else 0 end) = 2 union select chat_id from (select distinct id chat_id, user_id from {MESSAGES}) group by 1 having count(*) = 1 and sum(case when user_id in ('u11') then 1 else 0 end) = 1".replace("id chat_id", "'m' || id chat_id"))
 def a20_exact_set(spark: SparkSession, d: str) -> DataFrame:
-    m = messages(spark, d).where("id < 2000")
+    m = messages(spark, d)
     pair = A.exact_set(m.select("chat_id", "user_id").distinct(), "chat_id", "user_id", ["u1", "u2"])
     return pair.union(A.exact_set(m.select(F.concat(F.lit("m"), F.col("id").cast("string")).alias("chat_id"), "user_id").distinct(), "chat_id", "user_id", ["u11"])).distinct()
 
@@ -178,9 +188,9 @@ def a30_thread_stats(spark: SparkSession, d: str) -> DataFrame:
     return A.thread_stats(messages(spark, d))
 
 
-@query("select lang, first(source order by doc_id) source, string_agg(doc_id::varchar, ',' order by doc_id) sources from documents where doc_id < 100 group by 1")
+@query("select lang, first(source order by doc_id) source, string_agg(doc_id::varchar, ',' order by doc_id) sources from documents group by 1")
 def a31_first_wins(spark: SparkSession, d: str) -> DataFrame:
-    found = A.first_wins(table(spark, d, "documents").where("doc_id < 100").select("lang", "source", "doc_id"), "lang", "doc_id")
+    found = A.first_wins(table(spark, d, "documents").select("lang", "source", "doc_id"), "lang", "doc_id")
     return found.select("lang", "source", F.array_join(F.transform("sources", lambda x: x.cast("string")), ",").alias("sources"))
 
 
@@ -275,18 +285,15 @@ def w14_last_messages(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").groupBy("conv_id").agg(F.try_element_at(F.transform(users, lambda x: x["text"]), F.lit(-1)).alias("last_user"), F.array_join(F.transform(F.slice(all_, -F.least(F.size(all_), F.lit(2)), 2), lambda x: x["text"]), "|").alias("last_two"))
 
 
-_WALK = "with recursive t(chat_id, node, depth) as (select chat_id, max(id), 0 from {t} group by 1 union all select t.chat_id, m.parent_id, depth + 1 from t join {t} m on m.chat_id = t.chat_id and m.id = t.node where m.parent_id is not null and depth < 100) select chat_id, node, depth from t"
-
-
-@query(_WALK.format(t=TURNS))
+@query("select m.conv_id chat_id, m.turn root, a.turn node, (m.turn - a.turn)::int depth from conversations m join conversations a on a.conv_id = m.conv_id and a.turn <= m.turn")
 def w15_ancestors(spark: SparkSession, d: str) -> DataFrame:
-    turns(spark, d).createOrReplaceTempView("w15_turns")
-    return spark.sql(_WALK.format(t="w15_turns"))
+    t = turns(spark, d)
+    return walk(t.select("chat_id", F.col("id").alias("root")), t.select("chat_id", F.col("id").alias("src"), F.col("parent_id").alias("dst")), ["chat_id"])
 
 
-@query("with recursive t(root, node) as (select r_regionkey + 1000, r_regionkey + 1000 from region union all select t.root, c.id from t join (select n_nationkey id, n_regionkey + 1000 parent from nation union all select s_suppkey + 10000, s_nationkey from supplier) c on c.parent = t.node) select root, node from t")
+@query("""select (r_regionkey + 1000)::bigint root, (r_regionkey + 1000)::bigint node, 0 as depth from region union all select n_regionkey + 1000, n_nationkey, 1 from nation
+ union all select n_regionkey + 1000, s_suppkey + 10000, 2 from supplier join nation on n_nationkey = s_nationkey""")
 def w16_descendants(spark: SparkSession, d: str) -> DataFrame:
-    nodes = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("id"), (F.col("n_regionkey") + 1000).cast("long").alias("parent")).union(table(spark, d, "supplier").select((F.col("s_suppkey") + 10000).cast("long"), F.col("s_nationkey").cast("long")))
-    nodes.createOrReplaceTempView("w16_nodes")
-    table(spark, d, "region").createOrReplaceTempView("w16_region")
-    return spark.sql("with recursive t(root, node) as (select cast(r_regionkey + 1000 as bigint), cast(r_regionkey + 1000 as bigint) from w16_region union all select t.root, c.id from t join w16_nodes c on c.parent = t.node) select root, node from t")
+    link = lambda df, src, dst: df.select(F.expr(src).cast("long").alias("src"), F.expr(dst).cast("long").alias("dst"))
+    links = link(table(spark, d, "nation"), "n_regionkey + 1000", "n_nationkey").unionByName(link(table(spark, d, "supplier"), "s_nationkey", "s_suppkey + 10000"))
+    return walk(table(spark, d, "region").select((F.col("r_regionkey") + 1000).cast("long").alias("root")), links)

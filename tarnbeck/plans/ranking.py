@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnbeck.functions import vectors as V
 from tarnbeck.operators import retrieval as R
-from tarnbeck.plans.relational import ME, _HOST, grants, parts
+from tarnbeck.plans.relational import GRANTS, GROUPS, HELD, ME, PARTS, _HOST, grants, parts
 from tarnbeck.plans.views import table
 
 del _HOST
@@ -101,18 +101,25 @@ def x10_rerank(spark: SparkSession, d: str) -> DataFrame:
     return R.rerank(both, F.round(V.cosine(F.col("embedding"), F.col("qvec")), 6), "id", 0.1, 3).select("qid", "id", "score", "rank")
 
 
-@query()
+_HYBRID = _BM25.replace("from documents)", "from documents where doc_id in (select vec_id from embeddings))").replace("from benchmark)", "from benchmark where item_id in (select vec_id from embeddings))")
+
+
+@query(f"""{_HYBRID}, near as (select item_id qid, doc_id id, {_COS.format(a='e.embedding', b='q.embedding')} c from benchmark join embeddings q on q.vec_id = item_id, documents join embeddings e on e.vec_id = doc_id),
+ both_ as (select qid, id from ranked where rank <= 10 union select qid, id from (select *, row_number() over (partition by qid order by c desc, id) r from near) where r <= 10)
+ select * from (select qid, id, round(c, 6) score, row_number() over (partition by qid order by c desc, id)::int rank from both_ join near using (qid, id)) where rank <= 5""")
 def x11_hybrid(spark: SparkSession, d: str) -> DataFrame:
     """documents stand in for the vectors of their ids: lexical and vector lists fused and reranked."""
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text").join(items(spark, d).select("id", "embedding"), "id")
     asked = table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query")).join(items(spark, d).select(F.col("id").alias("qid"), F.col("embedding").alias("qvec")), "qid")
-    return R.hybrid(docs, asked, 10, 5)
+    return R.hybrid(docs, asked, 10, 5).withColumn("score", F.round("score", 6))
 
 
-@query("select qid, doc_id, score from (select *, row_number() over (partition by qid order by score desc, doc_id) r from (select item_id qid, doc_id, score, text from (select item_id, d.doc_id, (d.doc_id * 7 + item_id) % 101 score, d.text, row_number() over (partition by item_id, sha256(d.text) order by (d.doc_id * 7 + item_id) % 101 desc, d.doc_id) n from benchmark b, documents d where item_id < 10 and d.doc_id % 10 = item_id) where n = 1)) where r <= 5")
+@query("select qid, doc_id, score from (select *, row_number() over (partition by qid order by score desc, doc_id) r from (select item_id qid, doc_id, score, text from (select item_id, d.doc_id, (d.doc_id * 7 + item_id) % 101 score, d.text, row_number() over (partition by item_id, sha256(d.text) order by (d.doc_id * 7 + item_id) % 101 desc, d.doc_id) n from benchmark b, documents d where d.doc_id % (select count(*) from benchmark) = item_id) where n = 1)) where r <= 5")
 def x12_merge_results(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("arrival"), "text", (F.col("doc_id") % 10).alias("qid"))
-    rows = docs.join(table(spark, d, "benchmark").where("item_id < 10").select(F.col("item_id").cast("long").alias("qid")), "qid").withColumn("score", (F.col("arrival") * 7 + F.col("qid")) % 101)
+    asked = table(spark, d, "benchmark")
+    docs = table(spark, d, "documents").crossJoin(F.broadcast(asked.agg(F.count("*").alias("n"))))  # one row
+    docs = docs.select(F.col("doc_id").alias("arrival"), "text", (F.col("doc_id") % F.col("n")).alias("qid"))
+    rows = docs.join(asked.select(F.col("item_id").cast("long").alias("qid")), "qid").withColumn("score", (F.col("arrival") * 7 + F.col("qid")) % 101)
     return R.merge_results(rows, 5).select("qid", F.col("arrival").alias("doc_id"), "score")
 
 
@@ -136,11 +143,11 @@ def x21_memory_search(spark: SparkSession, d: str) -> DataFrame:
     return R.top_k(items(spark, d), q, 1, where=F.col("label") == 2).select("id", F.round("score", 6).alias("score"))
 
 
-@query(f"select e.vec_id id, {_SCORE} score from embeddings e, (select embedding from embeddings where vec_id = 2) q where e.vec_id in (select p_partkey from part where 'u' || (p_partkey % 12) = 'u3') order by ({_COS.format(a='e.embedding', b='q.embedding')}) desc, 1 limit 10")
+@query(f"select e.vec_id id, {_SCORE} score from embeddings e, (select embedding from embeddings where vec_id = 2) q where e.vec_id in (select id from {PARTS} p where user_id = 'u3' or exists(select 1 from {GRANTS} g where resource_id = p.id and permission = 'read' and {HELD})) order by ({_COS.format(a='e.embedding', b='q.embedding')}) desc, 1 limit 10")
 def x22_knowledge_search(spark: SparkSession, d: str) -> DataFrame:
     from tarnbeck.operators.joins import readable
 
-    mine = readable(parts(spark, d), grants(spark, d).limit(0), "part", ME, []).select("id")
+    mine = readable(parts(spark, d), grants(spark, d), "part", ME, GROUPS).select("id")
     q = items(spark, d).where("id = 2").first().embedding
     return R.top_k(items(spark, d).join(mine, "id", "left_semi"), q, 10).select("id", F.round("score", 6).alias("score"))
 
@@ -171,12 +178,12 @@ def fm6_fm7_formulas(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "nation").select("n_nationkey", V.backoff(F.col("n_regionkey"), 2.0).alias("wait"), F.round(expected(F.lit(100.0), F.col("n_nationkey") * 10), 9).alias("expected"))
 
 
-@query("select f.id, round(coalesce(max(c), 0), 6) weight from (select l.doc_id id, [lang, source] tags from labels l join documents d on l.doc_id = d.doc_id) f left join (select 'src' || vec_id tag, list_cosine_similarity(embedding::double[], (select embedding::double[] from embeddings where vec_id = 3)) c from embeddings where vec_id < 20) t on list_contains(f.tags, t.tag) group by 1")
+@query("select f.id, round(coalesce(max(c), 0), 6) weight from (select l.doc_id id, [lang, source] tags from labels l join documents d on l.doc_id = d.doc_id) f left join (select 'src' || vec_id tag, list_cosine_similarity(embedding::double[], (select embedding::double[] from embeddings where vec_id = 3)) c from embeddings) t on list_contains(f.tags, t.tag) group by 1")
 def a17_relevance(spark: SparkSession, d: str) -> DataFrame:
     from tarnbeck.operators.analytics import relevance
 
     f = table(spark, d, "labels").join(table(spark, d, "documents"), "doc_id").select(F.col("doc_id").alias("id"), F.array("lang", "source").alias("tags"))
-    tags = table(spark, d, "embeddings").where("vec_id < 20").select(F.concat(F.lit("src"), F.col("vec_id").cast("string")).alias("tag"), "embedding")
+    tags = table(spark, d, "embeddings").select(F.concat(F.lit("src"), F.col("vec_id").cast("string")).alias("tag"), "embedding")
     q = items(spark, d).where("id = 3").first().embedding
     return relevance(f, tags, q).withColumn("weight", F.round("weight", 6))
 
@@ -190,9 +197,21 @@ def a22_export_stats(spark: SparkSession, d: str) -> DataFrame:
     return export_stats(turns(spark, d).withColumn("blocks", F.array(block("text"), block("image"), block("text")))).select("chat_id", "id", "role", F.col("content_length").cast("long").alias("content_length"), "response_time")
 
 
-@query("select doc_id, round(10 * 0.5 + case when n < 20 then 0.0 else 0.0 end + case when doc_id % 9 = 0 then -3.0 else 0.0 end, 6) reward from (select doc_id, 0 n from documents)")
+_PENALTY = "case when n = 0 then -2.0 when n < 20 then 0.0 when u / (n - 1) < 0.3 then -2.0 when u / (n - 1) < 0.5 then -1.0 else 0.0 end"
+_BIGRAMS = "(select doc_id, text, len(t) n, len(list_distinct(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) u from (select doc_id, text, string_split(text, ' ') t from documents))"
+
+
+@query(f"""select doc_id, round(10 * coalesce(list_dot_product(a.embedding::double[], b.embedding::double[]), 0) + {_PENALTY} + case when trim(text) = '' then -3 else 0 end, 5) reward
+ from {_BIGRAMS} left join embeddings a on a.vec_id = doc_id left join embeddings b on b.vec_id = doc_id + 1""")
 def x24_reward(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.round(V.reward(F.lit(0.5), F.lit(0.0), F.col("doc_id") % 9 == 0), 6).alias("reward"))
+    """Documents as completions: the vector of the next id is the answer's, the penalty comes from the text."""
+    from tarnbeck.operators.analytics import bigram_penalty
+
+    e = table(spark, d, "embeddings")
+    own, answer = e.select(F.col("vec_id").alias("a"), F.col("embedding").alias("x")), e.select((F.col("vec_id") - 1).alias("b"), F.col("embedding").alias("y"))
+    docs = table(spark, d, "documents").join(own, F.col("doc_id") == F.col("a"), "left").join(answer, F.col("doc_id") == F.col("b"), "left")
+    similarity = F.coalesce(V.dot(F.col("x"), F.col("y")), F.lit(0.0))
+    return docs.select("doc_id", F.round(V.reward(similarity, bigram_penalty(F.split("text", " ", -1)), F.trim("text") == ""), 5).alias("reward"))
 
 
 @query("select d.doc_id, e.n from documents d join (select text, length(text) n from (select distinct text from documents)) e on d.text = e.text")

@@ -240,9 +240,9 @@ def j08_read_only(spark: SparkSession, d: str) -> DataFrame:
     return J.read_only(parts(spark, d), grants(spark, d), "part", ME, GROUPS).select("id")
 
 
-@query(f"select distinct id from {PARTS} where id <= 200 and id in (select resource_id from {GRANTS} where permission = 'write' and {HELD})")
+@query(f"select distinct id from {PARTS} where id in (select resource_id from {GRANTS} where permission = 'write' and {HELD})")
 def j09_batch_access(spark: SparkSession, d: str) -> DataFrame:
-    return J.accessible(parts(spark, d).where("id <= 200"), grants(spark, d), "part", "write", ME, GROUPS)
+    return J.accessible(parts(spark, d), grants(spark, d), "part", "write", ME, GROUPS)
 
 
 _FILES = "(select text, doc_id from documents where doc_id % 4 <> 0)"
@@ -297,9 +297,9 @@ def j17_enrich(spark: SparkSession, d: str) -> DataFrame:
     return J.enrich(table(spark, d, "nation").select("n_nationkey"), facts, "n_nationkey", {"n": 0, "total": 0.0})
 
 
-@query("select o_custkey % 50 message_id, o_orderpriority \"name\", count(*) n, string_agg(c_name, ',' order by c_custkey, c_name) users from orders join customer on o_custkey = c_custkey where o_orderkey < 400 group by 1, 2")
+@query("select o_custkey % 50 message_id, o_orderpriority \"name\", count(*) n, string_agg(c_name, ',' order by c_custkey, c_name) users from orders join customer on o_custkey = c_custkey group by 1, 2")
 def j18_reactions(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders").where("o_orderkey < 400").select((F.col("o_custkey") % 50).alias("message_id"), F.col("o_orderpriority").alias("name"), F.col("o_custkey").alias("user_id"))
+    rows = table(spark, d, "orders").select((F.col("o_custkey") % 50).alias("message_id"), F.col("o_orderpriority").alias("name"), F.col("o_custkey").alias("user_id"))
     return J.reactions(rows, table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
 
 
@@ -336,17 +336,17 @@ def j23_authors(spark: SparkSession, d: str) -> DataFrame:
     return J.authors(m, table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")), table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))).select("o_orderkey", "author")
 
 
-@query("select l_orderkey, concat_ws('-', l_linenumber, l_partkey, l_quantity) call_id, l_partkey as call, case when l_linenumber % 2 = 0 then l_suppkey end as output from lineitem where l_orderkey < 500")
+@query("select l_orderkey, concat_ws('-', l_linenumber, l_partkey, l_quantity) call_id, l_partkey as call, case when l_linenumber % 2 = 0 then l_suppkey end as output from lineitem")
 def j24_calls(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").where("l_orderkey < 500")
+    li = table(spark, d, "lineitem")
     item = lambda kind, value: F.struct(F.lit(kind).alias("type"), F.concat_ws("-", F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"), F.col("l_quantity").cast("string")).alias("call_id"), F.col(value).alias("value"))
     items = li.groupBy("l_orderkey").agg(F.concat(F.collect_list(item("function_call", "l_partkey")), F.collect_list(F.when(F.col("l_linenumber") % 2 == 0, item("function_call_output", "l_suppkey")))).alias("items"))
     return items.select("l_orderkey", F.explode(J.pair_calls(F.col("items"))).alias("x")).select("l_orderkey", "x.call_id", "x.call", "x.output")
 
 
-@query("select s_suppkey id from supplier union all select c_custkey from customer where c_custkey < 50")
+@query("select s_suppkey id from supplier union all select c_custkey from customer")
 def m01_union(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("id")).unionByName(table(spark, d, "customer").where("c_custkey < 50").select(F.col("c_custkey").alias("id")))
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("id")).unionByName(table(spark, d, "customer").select(F.col("c_custkey").alias("id")))
 
 
 @query("select distinct c_custkey from customer where c_custkey not in (select o_custkey from orders)")
@@ -354,11 +354,11 @@ def m02_difference(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select("c_custkey").subtract(table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")))
 
 
-@query("select coalesce(a.id, b.id) id, coalesce(b.name, a.name) \"name\", a.seg from (select c_custkey id, c_name \"name\", c_mktsegment seg from customer where c_custkey < 100) a full join (select c_custkey id, upper(c_mktsegment) \"name\" from customer where c_custkey between 80 and 120) b on a.id = b.id")
+@query("select coalesce(a.id, b.id) id, coalesce(b.name, a.name) \"name\", a.seg from (select c_custkey id, c_name \"name\", c_mktsegment seg from customer) a full join (select s_suppkey * 20 id, upper(s_name) \"name\" from supplier) b on a.id = b.id")
 def m03_upsert(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
-    base = c.where("c_custkey < 100").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg"))
-    return M.upsert(base, c.where("c_custkey between 80 and 120").select(F.col("c_custkey").alias("id"), F.upper("c_mktsegment").alias("name")), ["id"])
+    base = c.select(F.col("c_custkey").cast("long").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg"))
+    return M.upsert(base, table(spark, d, "supplier").select((F.col("s_suppkey") * 20).cast("long").alias("id"), F.upper("s_name").alias("name")), ["id"])
 
 
 @query("select s_suppkey id, 'old' origin from supplier union all select id, 'new' from (select distinct c_custkey id from customer) where id not in (select s_suppkey from supplier)")
@@ -367,9 +367,9 @@ def m04_insert_absent(spark: SparkSession, d: str) -> DataFrame:
     return M.insert_absent(base, table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.lit("new").alias("origin")), ["id"])
 
 
-@query("select coalesce(a.k, b.k) k, case when a.k is null then 'insert' when b.k is null then 'delete' when a.v <> b.v then 'update' else 'keep' end as action from (select c_custkey k, c_nationkey v from customer where c_custkey <= 200) a full join (select s_suppkey * 3 k, s_nationkey v from supplier) b on a.k = b.k")
+@query("select coalesce(a.k, b.k) k, case when a.k is null then 'insert' when b.k is null then 'delete' when a.v <> b.v then 'update' else 'keep' end as action from (select c_custkey k, c_nationkey v from customer) a full join (select s_suppkey * 3 k, s_nationkey v from supplier) b on a.k = b.k")
 def m05_sync(spark: SparkSession, d: str) -> DataFrame:
-    base = table(spark, d, "customer").where("c_custkey <= 200").select(F.col("c_custkey").cast("long").alias("k"), F.col("c_nationkey").cast("long").alias("v"))
+    base = table(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("k"), F.col("c_nationkey").cast("long").alias("v"))
     return M.sync(base, table(spark, d, "supplier").select((F.col("s_suppkey") * 3).cast("long").alias("k"), F.col("s_nationkey").cast("long").alias("v")), "k", ["v"])
 
 

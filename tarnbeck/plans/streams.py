@@ -24,7 +24,7 @@ def query(sql: str | None = None):
     return keep
 
 
-@query()
+@query("select conv_id || '-' || turn stream, text, null::varchar finish, 0::bigint bad from conversations")
 def t01_t02_replies(spark: SparkSession, d: str) -> DataFrame:
     """conversations as recorded streams: each turn's text in two deltas, then the end mark."""
     c = table(spark, d, "conversations").select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("stream"), "text")
@@ -39,9 +39,9 @@ def t05_tagged_parts(spark: SparkSession, d: str) -> DataFrame:
     return c.select("conv_id", "turn", F.posexplode(frames.parts_udf()("text")).alias("n", "x")).select("conv_id", "turn", "n", "x.kind", "x.text")
 
 
-@query(f"""select a.id, count(b.id) + (select count(*) from {MESSAGES} c where c.user_id = a.user_id and c.created_at // 3600 = a.created_at // 3600 and (c.created_at, c.id) <= (a.created_at, a.id)) total from (select * from {MESSAGES} where id < 3000) a left join (select * from {MESSAGES} where id < 3000) b on b.user_id = a.user_id and b.created_at // 3600 between a.created_at // 3600 - 6 and a.created_at // 3600 - 1 group by a.id, a.user_id, a.created_at""".replace("from " + MESSAGES + " c where", "from (select * from " + MESSAGES + " where id < 3000) c where"))
+@query(f"""select a.id, count(b.id) + (select count(*) from {MESSAGES} c where c.user_id = a.user_id and c.created_at // 3600 = a.created_at // 3600 and (c.created_at, c.id) <= (a.created_at, a.id)) total from (select * from {MESSAGES}) a left join (select * from {MESSAGES}) b on b.user_id = a.user_id and b.created_at // 3600 between a.created_at // 3600 - 6 and a.created_at // 3600 - 1 group by a.id, a.user_id, a.created_at""")
 def t07_rate_limit(spark: SparkSession, d: str) -> DataFrame:
-    m = messages(spark, d).where("id < 3000").select("user_id", "created_at", "id")
+    m = messages(spark, d).select("user_id", "created_at", "id")
     return windows.rate_limited(m, 3, window=6 * 3600, bucket=3600, key="user_id", at="created_at").select("id", "total")
 
 
@@ -56,7 +56,11 @@ def t09_usage_pool(spark: SparkSession, d: str) -> DataFrame:
     return windows.usage_pool(m, 1706700000, 86400)
 
 
-@query()
+_KEPT = f"""with recursive m as (select user_id k, created_at c from {MESSAGES}), t as (select k, min(c) c from m group by 1
+ union all select t.k, min(m.c) c from t join m on m.k = t.k and m.c >= t.c + 50000 group by t.k, t.c) select k "key", c "at" from t"""
+
+
+@query(_KEPT)
 def t12_throttle(spark: SparkSession, d: str) -> DataFrame:
     m = messages(spark, d).select(F.col("user_id").alias("key"), F.col("created_at").alias("at"))
     return windows.throttle(m, 50000)

@@ -61,9 +61,9 @@ def ft06_headings(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", T.headings(F.concat(F.lit("第十二章 "), "lang", F.lit("\ntext\n 楔子"))).alias("headed"))
 
 
-@query(r"select doc_id, regexp_replace(left(trim(regexp_replace(left(text, 60), '\s+', ' ', 'g')), 30), '\s+$', '') title from documents where not regexp_matches(text, '^[#* \-—–·:：\s]')")
+@query(r"select doc_id, regexp_replace(left(trim(regexp_replace(text, '\s+', ' ', 'g')), 30), '\s+$', '') title from documents where not regexp_matches(text, '^[#* \-—–·:：\s]')")
 def ft09_chunk_title(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).where(~F.col("text").rlike(r"^[#* \-—–·:：\s]")).select("doc_id", T.chunk_title(F.substring("text", 1, 60)).alias("title"))
+    return docs(spark, d).where(~F.col("text").rlike(r"^[#* \-—–·:：\s]")).select("doc_id", T.chunk_title(F.col("text")).alias("title"))
 
 
 @query(r"select doc_id, regexp_replace(regexp_replace(left(text, 40), '^\s+', ''), '\s+$', '') summary, 1 = 1 valid from documents")
@@ -131,9 +131,9 @@ def ft34_blocks(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", T.block_text(F.array(block("text", F.col("lang"), none), block("image_url", none, none), block("x", none, F.format_string('{"k":%d}', "doc_id")))).alias("content"))
 
 
-@query("select page_id, replace(replace(replace(left(html, 300), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') escaped from pages")
+@query("select page_id, replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') escaped from pages")
 def ft35_xml_escape(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "pages").select("page_id", T.xml_escape(F.substring("html", 1, 300)).alias("escaped"))
+    return table(spark, d, "pages").select("page_id", T.xml_escape(F.col("html")).alias("escaped"))
 
 
 @query("select doc_id, case when doc_id % 2 = 0 then lang || '</think>z' else right(lang || repeat('x', 3001), 3000) end answer from documents")
@@ -152,9 +152,9 @@ def ft41_urls(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.array_join(T.urls(F.concat("url", F.lit(" and "), "url", F.lit("/x y"))), " ").alias("urls"))
 
 
-@query(r"select doc_id, regexp_matches(left(text, 200), '^[^@]+@[^@]+\.[^@]+') email from documents")
+@query(r"select doc_id, regexp_matches(text, '^[^@]+@[^@]+\.[^@]+') email from documents")
 def ft42_email(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).select("doc_id", T.is_email(F.substring("text", 1, 200)).alias("email"))
+    return docs(spark, d).select("doc_id", T.is_email(F.col("text")).alias("email"))
 
 
 @query("select doc_id, lang title, source author from documents")
