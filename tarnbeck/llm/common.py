@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 
 #: Bytes that a Python worker is handed at a time, about.
 BATCH_BYTES = 8 << 20
+#: White space beyond ASCII: first byte, and the bytes that follow it.
+_WIDE = {
+    0xC2: (b"\x85", b"\xa0"), 0xE1: (b"\x9a\x80",), 0xE3: (b"\x80\x80",),
+    0xE2: (*(bytes([0x80, x]) for x in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), b"\x81\x9f"),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +90,18 @@ def slices(raw: np.ndarray, places: np.ndarray, lo: int, hi: int, size: int, gap
         i = j
 
 
+def mark_sequences(raw: np.ndarray, flags: np.ndarray, value: int, sequences: dict[int, tuple[bytes, ...]] = _WIDE) -> None:
+    """Sets flags to value at all bytes of the sequences, given by first byte; of white space beyond ASCII by default."""
+    for first, rest in sequences.items():
+        at = np.nonzero(raw == first)[0]
+        for tail in rest if len(at) else ():
+            some = at[at < len(raw) - len(tail)]
+            for k, x in enumerate(tail, 1):
+                some = some[raw[some + k] == x]
+            for k in range(len(tail) + 1):
+                flags[some + k] = value
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(a, b) -> (node, component): the smallest node that a node reaches.
 

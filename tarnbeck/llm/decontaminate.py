@@ -25,7 +25,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnbeck.llm.common import buffers, in_batches, materialise, slices, table
+from tarnbeck.llm.common import buffers, in_batches, mark_sequences, materialise, slices, table
 
 BUCKETS = 1 << 13
 RANK = 64
@@ -64,8 +64,6 @@ _CLASS = np.zeros(256, dtype=np.uint8)
 _CLASS[[*_EDGE.encode()]] = 1
 _CLASS[[*b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]] = 2
 _GAP = _CLASS == 2
-#: White space beyond ASCII: first byte, and the bytes that follow it.
-_WIDE = {0xC2: (b"\x85", b"\xa0"), 0xE1: (b"\x9a\x80",), 0xE2: (*(bytes([0x80, x]) for x in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), b"\x81\x9f"), 0xE3: (b"\x80\x80",)}
 _LETTER = np.random.default_rng(5).integers(1 << 62, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LETTER[_CLASS > 0] = 0
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -87,14 +85,7 @@ def _powers(base: int, n: int = SLICE) -> np.ndarray:
 
 def _classes(raw: np.ndarray) -> np.ndarray:
     kind = _CLASS[raw]
-    for first, rest in _WIDE.items():
-        at = np.nonzero(raw == first)[0]
-        for tail in rest if len(at) else ():
-            some = at[at < len(raw) - len(tail)]
-            for k, x in enumerate(tail, 1):
-                some = some[raw[some + k] == x]
-            for k in range(len(tail) + 1):
-                kind[some + k] = 2
+    mark_sequences(raw, kind, 2)
     return kind
 
 

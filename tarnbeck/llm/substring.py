@@ -1,9 +1,10 @@
 """Substring dedup: paragraph MinHash banding, exact Jaccard, removals clustered by components.
 
-The paragraphs compared are the sentences of each line, so a passage set into other text shares whole ones whatever
-surrounds it; a longer stretch without a stop is cut after words that a hash picks, which does not depend on where it
-begins. Windows of RUN_WORDS words, winnowed from the whole text, are paragraphs too, which meet by hash alone: they find
-every passage of RUN_WORDS + WINNOW - 1 words that two texts share, where no sentence of it is whole. Equal paragraphs meet by hash. For others, MinHash signatures of their five-word shingles are cut into BANDS
+The paragraphs compared are the sentences of each line, words up to one that a stop follows, so a passage set into other
+text shares whole ones whatever surrounds it; a longer stretch without a stop, or a row of very short ones, is cut after words that a hash picks, which does not depend on where it
+begins. Windows of RUN_WORDS words, winnowed from the whole text, are paragraphs too, which
+meet by hash alone: they find every passage of RUN_WORDS + WINNOW - 1 words that two texts share, where no sentence of it
+is whole. All texts of a slice are cut and hashed at once, as arrays. Equal paragraphs meet by hash. For others, MinHash signatures of their five-word shingles are cut into BANDS
 bands of ROWS rows: two paragraphs of similarity 0.8 meet in a band with probability 1 - (1 - 0.8^2)^5 = 0.994. Each
 band's paragraphs are first held against the band's least one; those that are not similar to it are then held against
 all of the band, by a sketch of SKETCH one-bit MinHashes inside the join, which a pair of similarity 0.8 passes with
@@ -18,16 +19,17 @@ The class's first occurrence is kept.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarnbeck.llm.common import components, materialise, table
+from tarnbeck.llm.common import buffers, components, in_batches, mark_sequences, materialise, slices, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -43,157 +45,267 @@ WINNOW = 18
 SHIFT = 2
 #: Bits of a sketch, in longs. Of two paragraphs of similarity s each bit is equal with probability (1 + s) / 2.
 SKETCH, SKETCH_DIFFERENT = 256, 40
-_SENTENCE = re.compile(r"[^.!?。！？\n]*[.!?。！？]+|[^.!?。！？\n]+")
+#: Kinds of units.
+SENTENCE, WHOLE, WINDOW = range(3)
+#: Bytes of text that are laid out at a time; a longer text is laid out alone.
+CHUNK = 1 << 21
 _EDGE = ".,;:!?\"'()[]。！？"
 _digest = xxhash.xxh64_intdigest
+#: Of each byte: 0 inside a word, 1 at its ends, 2 for white space.
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[[*b".,;:!?\"'()[]"]] = 1
+_KIND[[*b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]] = 2
+_STOP = np.isin(np.arange(256), [*b".!?"])
+_WIDE_STOPS = {0xE3: (b"\x80\x82",), 0xEF: (b"\xbc\x81", b"\xbc\x9f")}
+_NEVER = np.zeros(256, dtype=bool)
+_BYTE = np.random.default_rng(31).integers(1 << 62, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_KIND_OF = np.array([0, 0x5851F42D4C957F2D, 0x14057B7EF767814F], dtype=np.uint64)
 
 
 def normal(text: str) -> list[str]:
     return [w for w in (x.strip(_EDGE) for x in text.lower().split()) if w]
 
 
-def _cut(text: str, start: int, end: int) -> Iterator[tuple[int, int, list[str]]]:
-    """A stretch in pieces that end after words which a hash picks."""
-    words: list[str] = []
-    at = last = start
-    for w in re.compile(r"\S+").finditer(text, start, end):
-        if not words:
-            at = w.start()
-        last = w.end()
-        if word := w[0].lower().strip(_EDGE):
-            words.append(word)
-            if len(words) >= PIECE_MOST or len(words) >= PIECE_WORDS and _digest(word) % 16 == 0:
-                yield at, last, words
-                words = []
-    if len(words) >= SHINGLE:
-        yield at, last, words
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(31))
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
 
 
-def paragraphs(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """(start, end, words) of each unit of at least SHINGLE words; offsets in code points.
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+@dataclass
+class _Words:
+    """Words of texts in a row: hash, text, first and last code point (exclusive) within it, what follows each."""
+
+    hashes: np.ndarray
+    text: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    stop: np.ndarray
+    line: np.ndarray
+    #: The first word of each text and the last one's next.
+    bounds: np.ndarray
+
+    def __post_init__(self) -> None:
+        n = len(self.hashes)
+        self._inverse = _powers(_INVERSE, n + 1)
+        self._sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(self.hashes * _powers(_BASE, n), dtype=np.uint64)])
+
+    def marks(self, a: np.ndarray, b: np.ndarray, kind: int) -> np.ndarray:
+        """Hash of the words a to b, another for each kind."""
+        return _mix(_mix((self._sums[b] - self._sums[a]) * self._inverse[a] + (b - a).astype(np.uint64)) ^ _KIND_OF[kind])
+
+
+def _words(raw: np.ndarray, low: np.ndarray, firsts: np.ndarray, low_firsts: np.ndarray) -> _Words:
+    """Words of texts that lie in a row and begin at firsts; low has the same texts in lower case, for the hashes."""
+    (first, last), stop_at, line_at, own = _cores(low, low_firsts)
+    leads = (raw & 0xC0) != 0x80
+    if not np.array_equal(leads, (low & 0xC0) != 0x80):
+        # Lower case moved some bytes: places come from the text itself, which has as many words.
+        own = _cores(raw, firsts)[3]
+    n = len(first)
+    inside = np.zeros(len(low) + 1, dtype=np.int8)
+    inside[first] += 1
+    inside[last + 1] -= 1
+    letters = np.where(np.cumsum(inside[:-1], dtype=np.int8) > 0, _BYTE[low], np.uint64(0))
+    hashes = np.zeros(n, dtype=np.uint64)
+    size = 1 << 15
+    power, inverse = _powers(_BASE, size), _powers(_INVERSE, size)
+    cuts = np.searchsorted(first, np.arange(0, len(low) + size, size))
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        if i < j:
+            a, b = int(first[i]), int(last[j - 1]) + 1
+            p, q = (power, inverse) if b - a <= size else (_powers(_BASE, b - a), _powers(_INVERSE, b - a))
+            at = first[i:j] - a
+            hashes[i:j] = np.add.reduceat(letters[a:b] * p[: b - a], at) * q[at]
+    points = np.concatenate([[0], np.cumsum(leads)])
+    text = np.searchsorted(firsts, own[0], side="right") - 1
+    base = points[np.minimum(firsts, len(raw))][text]
+    after = np.append(first[1:], len(low))
+    between = lambda flags: (c := np.concatenate([[0], np.cumsum(flags)]))[after] - c[last + 1] > 0
+    ends = np.ones(n, dtype=bool)
+    ends[:-1] = text[1:] != text[:-1]
+    bounds = np.searchsorted(text, np.arange(len(firsts) + 1))
+    return _Words(_mix(hashes), text, points[own[0]] - base, points[own[1]] - base, between(stop_at), between(line_at) | ends, bounds)
+
+
+def _cores(raw: np.ndarray, firsts: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """((first, last byte between the edges) of each word, stops, line ends, (first byte, last exclusive) of each word)."""
+    kind, stop = _KIND[raw], _STOP[raw]
+    mark_sequences(raw, kind, 2)
+    mark_sequences(raw, kind, 1, _WIDE_STOPS)
+    mark_sequences(raw, stop, True, _WIDE_STOPS)
+    solid = kind != 2
+    begin = solid.copy()
+    begin[1:] &= ~solid[:-1]
+    some = firsts[firsts < len(raw)]
+    begin[some] = solid[some]
+    starts = np.nonzero(begin)[0]
+    inner = np.nonzero(kind == 0)[0]
+    run = np.cumsum(begin, dtype=np.int32)[inner] - 1
+    new = np.ones(len(run), dtype=bool)
+    new[1:] = run[1:] != run[:-1]
+    at = np.nonzero(new)[0]
+    kept = run[at]
+    last = inner[np.append(at[1:], len(inner)) - 1] if len(at) else inner[:0]
+    # A run ends before white space or the next run.
+    gaps = np.append(np.nonzero(~solid)[0], len(raw))
+    ends = np.minimum(gaps[np.searchsorted(gaps, starts[kept])], np.append(starts, len(raw))[kept + 1])
+    return (inner[at], last), stop, raw == 10, (starts[kept], ends)
+
+
+def _sentences(w: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, last exclusive) of each unit of at least SHINGLE words, in order."""
+    if not len(w.hashes):
+        return (np.zeros(0, dtype=np.int64),) * 2
+    to = np.nonzero(w.stop | w.line)[0] + 1
+    at = np.concatenate([[0], to[:-1]])
+    short, line = to - at < SHINGLE, w.line[to - 1]
+    joined = np.zeros(len(at), dtype=bool)
+    joined[1:] = short[1:] & short[:-1] & ~line[:-1]
+    heads = np.nonzero(~joined)[0]
+    a, b, rows = at[heads], np.append(at[heads][1:], to[-1]), short[heads]
+    whole = ~rows & (b - a <= LONG_WORDS)
+    cut = np.nonzero(~whole & (b - a >= SHINGLE))[0]
+    ends = np.nonzero(w.hashes % np.uint64(16) == 0)[0] + 1
+    lo, hi = np.searchsorted(ends, a[cut], side="right"), np.searchsorted(ends, b[cut], side="right")
+    marks = ends.tolist()
+    first, last = [], []
+    for x, y, i, j in zip(a[cut].tolist(), b[cut].tolist(), lo.tolist(), hi.tolist(), strict=True):
+        for end in (*marks[i:j], y):
+            while end - x >= PIECE_MOST:
+                first.append(x)
+                last.append(x + PIECE_MOST)
+                x += PIECE_MOST
+            if end - x >= (SHINGLE if end == y else PIECE_WORDS):
+                first.append(x)
+                last.append(end)
+                x = end
+    a, b = np.concatenate([a[whole], np.array(first, dtype=np.int64)]), np.concatenate([b[whole], np.array(last, dtype=np.int64)])
+    order = np.argsort(a, kind="stable")
+    return a[order], b[order]
+
+
+def _slide(x: np.ndarray, pick: np.ufunc) -> np.ndarray:
+    """The least or most of each WINNOW values in a row, by doubling."""
+    width = 1
+    y = x
+    while 2 * width <= WINNOW:
+        y = pick(y[:-width], y[width:])
+        width *= 2
+    return pick(y[: len(x) - WINNOW + 1], y[WINNOW - width :]) if WINNOW > width else y
+
+
+def _winnowed(w: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, mark) of windows of RUN_WORDS words, which depend on the words about them alone.
 
-    A sentence of SHINGLE to LONG_WORDS words is one; a longer one, and a row of shorter ones within a line, is cut.
+    Of any WINNOW windows of a text in a row the least is among them, and of all its windows if it has fewer, so two texts
+    that share RUN_WORDS + WINNOW - 1 words in a row share a window, whatever stops or surrounds those words.
     """
-    for line in re.finditer(r"[^\n]+", text):
-        open_ = None  # where a row of short sentences began
-        for m in _SENTENCE.finditer(text, line.start(), line.end()):
-            words = normal(m[0])
-            if len(words) < SHINGLE:
-                open_ = m.start() if open_ is None else open_
-                continue
-            if open_ is not None:
-                yield from _cut(text, open_, m.start())
-                open_ = None
-            if len(words) <= LONG_WORDS:
-                yield m.start(), m.end(), words
-            else:
-                yield from _cut(text, m.start(), m.end())
-        if open_ is not None:
-            yield from _cut(text, open_, line.end())
-
-
-_SPACE = np.array([chr(i).isspace() for i in range(0x3002)])
-_BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+    n = len(w.hashes)
+    end = w.bounds[1:][w.text]
+    place = np.arange(n)
+    at = np.nonzero(place + RUN_WORDS <= end)[0]
+    found = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
+    found[at] = w.marks(at, at + RUN_WORDS, WINDOW)
+    picked = np.zeros(n, dtype=bool)
+    if n >= WINNOW:
+        least = _slide(found, np.minimum)
+        rows = place[: len(least)] + WINNOW - 1 + RUN_WORDS <= end[: len(least)]
+        # A window is picked if it is the least of any row that it is in: the greatest of those rows' least is itself.
+        pad = np.zeros(WINNOW - 1, dtype=np.uint64)
+        most = _slide(np.concatenate([pad, np.where(rows, least, np.uint64(0)), pad]), np.maximum)
+        picked = (most == found) & (place + RUN_WORDS <= end)
+    sizes = np.diff(w.bounds)
+    for k in np.nonzero((sizes >= RUN_WORDS) & (sizes < RUN_WORDS + WINNOW - 1))[0]:
+        a = int(w.bounds[k])
+        picked[a + int(found[a : a + int(sizes[k]) - RUN_WORDS + 1].argmin())] = True
+    at = np.nonzero(picked)[0]
+    return at, found[at]
+
+
+def _laid_out(texts: pa.Array) -> Iterator[tuple[int, int, _Words]]:
+    """(first text, last, words) of a column, some texts at a time; null texts are empty."""
+    try:
+        low = pc.utf8_lower(texts)
+    except pa.ArrowInvalid:  # not UTF-8
+        texts = pa.array([x.decode("utf-8", "replace") for x in texts.cast(pa.binary()).fill_null(b"").to_pylist()], pa.large_string())
+        low = pc.utf8_lower(texts)
+    (raw, places), (low_raw, low_places) = buffers(texts), buffers(low)
+    for i, j, a, b, _ in slices(raw, places, 0, len(texts), CHUNK, _NEVER):
+        if a < b:
+            c, d = int(low_places[i]), int(low_places[j])
+            yield i, j, _words(raw[a:b], low_raw[c:d], places[i:j] - a, low_places[i:j] - c)
 
 
-def spans(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(words, starts, ends) of all words of a text; offsets in code points."""
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    inside = np.concatenate([[False], ~_SPACE[np.minimum(code, 0x3001)], [False]])
-    edges = np.nonzero(inside[1:] != inside[:-1])[0]
-    words = [x.strip(_EDGE) for x in text.lower().split()]
-    keep = np.fromiter(map(bool, words), dtype=bool, count=len(words))
-    return [w for w in words if w], edges[::2][keep], edges[1::2][keep]
+def shingles(words: list[str]) -> set[tuple[str, ...]]:
+    return set(zip(*(words[i:] for i in range(SHINGLE)), strict=False))
 
 
-def winnowed(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, mark) of windows of RUN_WORDS words, which depend on the words about them alone.
+def _rank(text: np.ndarray) -> np.ndarray:
+    """How many of the same text stand before; texts are in order."""
+    return np.arange(len(text)) - np.searchsorted(text, text)
 
-    Of any WINNOW windows in a row the least is among them, so two texts that share RUN_WORDS + WINNOW - 1 words in a
-    row share a window, whatever stops or surrounds those words.
-    """
-    n = len(words) - RUN_WORDS + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.intp), np.zeros(0, dtype=np.int64)
-    hashes = np.fromiter(map(_digest, words), dtype=np.uint64, count=len(words))
-    power = np.full(len(words), _BASE, dtype=np.uint64)
-    back = np.full(n, _INVERSE, dtype=np.uint64)
-    power[0] = back[0] = 1
-    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * np.multiply.accumulate(power), dtype=np.uint64)])
-    found = _mix(_mix((total[RUN_WORDS:] - total[:n]) * np.multiply.accumulate(back)))
-    rows = np.lib.stride_tricks.sliding_window_view(found, min(WINNOW, n))
-    at = np.unique(rows.argmin(axis=1) + np.arange(len(rows)))
-    return at, found[at].view(np.int64)
 
+_UNIT_NAMES = ["doc_id", "unit", "start", "end", "words", "mark", "word", "total", "kind"]
+_UNIT_TYPES = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int8())
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    return set(zip(*(words[i:] for i in range(SHINGLE)), strict=False))
 
-
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+def _units(batch: pa.RecordBatch, every: bool) -> Iterator[pa.RecordBatch]:
+    """Sentences; if every, also short documents as wholes and windows, and of each its first word, and a short document's words."""
+    for i, j, w in _laid_out(batch.column(1)):
+        a, b = _sentences(w)
+        sizes = np.diff(w.bounds)
+        parts = [(a, b, _rank(w.text[a]), w.marks(a, b, SENTENCE), SENTENCE)]
+        if every and len(w.hashes):
+            count = np.bincount(w.text[a], minlength=j - i)
+            small = np.nonzero((sizes > 0) & (sizes < RUN_WORDS))[0]
+            parts.append((w.bounds[small], w.bounds[small + 1], count[small], w.marks(w.bounds[small], w.bounds[small + 1], WHOLE), WHOLE))
+            at, marks = _winnowed(w)
+            parts.append((at, at + RUN_WORDS, count[w.text[at]] + _rank(w.text[at]), marks, WINDOW))
+        for first, last, unit, mark, kind in parts:
+            text = w.text[first]
+            total = sizes[text]
+            columns = [
+                batch.column(0).take(pa.array(i + text)), unit, w.start[first], w.end[last - 1], last - first, mark.view(np.int64), first - w.bounds[text],
+                pa.array(total, pa.int32(), mask=total >= RUN_WORDS), np.full(len(first), kind),
+            ]
+            arrays = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in columns]
+            n = len(_UNIT_NAMES) if every else 6
+            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(arrays, _UNIT_TYPES, strict=True)][:n], names=_UNIT_NAMES[:n])
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Paragraphs."""
     for batch in batches:
-        yield _units(batch, False)
+        yield from _units(batch, False)
 
 
 def _occurrences_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Paragraphs, windows of words, and short documents as wholes; and of each its first word, and a short document's words."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            yield _units(batch.slice(at, 1000), True)
-
-
-def _units(batch: pa.RecordBatch, every: bool) -> pa.RecordBatch:
-    doc, unit, start, end, count, mark, first, total = [], [], [], [], [], [], [], []
-    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        text = text.as_py() or ""
-        rows = [(k, a, b, len(words), _signed(_digest(" ".join(words)))) for k, (a, b, words) in enumerate(paragraphs(text))]
-        if every:
-            spelt, starts, ends = spans(text)
-            if 0 < len(spelt) < RUN_WORDS:
-                rows.append((len(rows), int(starts[0]), int(ends[-1]), len(spelt), _signed(_digest("whole\n" + " ".join(spelt)))))
-            at, marks = winnowed(spelt)
-            rows += zip(range(len(rows), len(rows) + len(at)), starts[at].tolist(), ends[at + RUN_WORDS - 1].tolist(), [RUN_WORDS] * len(at), marks.tolist(), strict=True)
-            first += np.searchsorted(starts, [r[1] for r in rows]).tolist()
-            total += [len(spelt) if len(spelt) < RUN_WORDS else None] * len(rows)
-        doc += [doc_id] * len(rows)
-        for column, values in zip((unit, start, end, count, mark), zip(*rows, strict=True), strict=False):
-            column += values
-    columns = [pa.array(doc, pa.int64()), *(pa.array(c, pa.int32()) for c in (unit, start, end, count)), pa.array(mark, pa.int64())]
-    more = [pa.array(first, pa.int32()), pa.array(total, pa.int32())] if every else []
-    return pa.RecordBatch.from_arrays(columns + more, names=["doc_id", "unit", "start", "end", "words", "mark", "word", "total"][: len(columns + more)])
+        yield from _units(batch, True)
 
 
 _MULTIPLY = np.random.default_rng(2024).integers(1 << 62, size=(BANDS * ROWS,), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = np.random.default_rng(2025).integers(1 << 62, size=(SHINGLE,), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(31))
-    x *= np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
-
-
-def bands(units: list[list[str]]) -> np.ndarray:
-    """(units, BANDS) keys, each with its band mixed in; units have SHINGLE words or more."""
-    sizes = np.array([len(u) for u in units])
-    hashes = np.fromiter((_digest(w) for u in units for w in u), dtype=np.uint64, count=int(sizes.sum()))
+def bands(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """(units, BANDS) keys, each with its band mixed in, of units that are runs of hashed words; each has SHINGLE or more."""
     total = np.zeros(len(hashes) - SHINGLE + 1, dtype=np.uint64)
     for j in range(SHINGLE):
         total += hashes[j : len(total) + j] * _PLACES[j]
-    ends = np.cumsum(sizes)
-    valid = np.ones(len(hashes), dtype=bool)
-    for j in range(1, SHINGLE):
-        valid[ends - j] = False
-    kept = _mix(total[valid[: len(total)]])
-    offsets = np.concatenate([[0], np.cumsum(sizes - SHINGLE + 1)[:-1]])
-    keys = np.empty((len(units), BANDS), dtype=np.uint64)
+    many = ends - starts - SHINGLE + 1
+    offsets = np.cumsum(many) - many
+    kept = _mix(total[np.repeat(starts - offsets, many) + np.arange(many.sum())])
+    keys = np.empty((len(starts), BANDS), dtype=np.uint64)
     for b in range(BANDS):
-        key = np.full(len(units), b + 1, dtype=np.uint64)
+        key = np.full(len(starts), b + 1, dtype=np.uint64)
         for r in range(ROWS):
             least = np.minimum.reduceat(_mix(kept * _MULTIPLY[b * ROWS + r]), offsets)
             key = _mix(key * np.uint64(0xD1342543DE82EF95) + least)
@@ -203,15 +315,14 @@ def bands(units: list[list[str]]) -> np.ndarray:
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            seen: dict[int, list[str]] = {}
-            for text in batch.column(0).slice(at, 1000):
-                for _, _, words in paragraphs(text.as_py() or ""):
-                    if len(words) >= BAND_WORDS:
-                        seen.setdefault(_signed(_digest(" ".join(words))), words)
-            if seen:
-                marks = np.repeat(np.fromiter(seen, dtype=np.int64, count=len(seen)), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(bands(list(seen.values())).reshape(-1).view(np.int64)), pa.array(marks)], names=["band", "mark"])
+        for _, _, w in _laid_out(batch.column(0)):
+            a, b = _sentences(w)
+            long_ = b - a >= BAND_WORDS
+            a, b = a[long_], b[long_]
+            marks, once = np.unique(w.marks(a, b, SENTENCE), return_index=True)
+            if len(marks):
+                keys = bands(w.hashes, a[once], b[once])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(marks.view(np.int64), BANDS))], names=["band", "mark"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,12 +364,14 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, units: DataFrame) -> DataFrame:
     """(a, b): marks of different paragraphs that are similar."""
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(_banded, "band long, mark long").repartition("band")
+    rows = in_batches(docs.select(F.col("text").cast("string"))).mapInArrow(_banded, "band long, mark long").repartition("band")
     least = rows.groupBy("band").agg(F.min("mark").alias("hub"), F.max("mark").alias("other")).where("hub != other").withColumnRenamed("band", "b2")
     # A band's rows where different paragraphs meet; each paragraph once.
     met = materialise(rows.join(least, F.col("band") == F.col("b2")).select("band", "mark", "hub").distinct(), "bands")
     needed = met.select("mark").distinct()
-    first = units.join(needed, "mark", "left_semi").groupBy("mark").agg(F.min(F.struct("doc_id", "start", "end")).alias("at")).select("mark", "at.*")
+    # A common mark's places are added up before they meet what is needed of them.
+    first = units.where(F.col("words") >= BAND_WORDS).groupBy("mark").agg(F.min(F.struct("doc_id", "start", "end")).alias("at"))
+    first = first.join(needed, "mark", "left_semi").select("mark", "at.*")
     whole = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("whole"))
     texts = whole.join(first, F.col("id") == F.col("doc_id")).select("mark", F.expr("substring(whole, start + 1, end - start)").alias("text"))
     parts = [f"s{i}" for i in range(SKETCH // 64)]
@@ -289,15 +402,16 @@ def repeats(docs: DataFrame) -> DataFrame:
     share a doc_id are one document.
     """
     docs = docs.where("doc_id IS NOT NULL")
-    units = materialise(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_occurrences_all, "doc_id long, unit int, start int, end int, words int, mark long, word int, total int"), "paragraphs")
-    near = materialise(components(links(docs, units)).select(F.col("node").alias("n"), F.col("component").alias("c")), "classes")
+    read = in_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    units = materialise(read.mapInArrow(_occurrences_all, "doc_id long, unit int, start int, end int, words int, mark long, word int, total int, kind byte"), "paragraphs")
+    near = materialise(components(links(docs, units.where(F.col("kind") == SENTENCE))).select(F.col("node").alias("n"), F.col("component").alias("c")), "classes")
     place = F.struct("doc_id", "unit")
-    marks = units.groupBy("mark").agg(F.min(place).alias("first"), F.max(place).alias("last")).join(near, F.col("mark") == F.col("n"), "left")
-    # Most marks stand in one place and are similar to none: they are left before anything wide is dealt out.
-    marks = materialise(marks.where("n IS NOT NULL OR first != last").select("mark", F.coalesce("c", "mark").alias("class_id"), "first", "last"), "marks")
-    classes = marks.groupBy("class_id").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first != last").withColumnRenamed("class_id", "k")
-    marks = marks.select(F.col("mark").alias("m"), "class_id").join(classes, F.col("class_id") == F.col("k"))
-    again = units.join(marks, F.col("mark") == F.col("m")).select("doc_id", "unit", "start", "end", "words", "word", "total", "class_id", "first", "last").withColumn("gone", place != F.col("first"))
+    # Most marks stand once and are similar to none: they are left before anything wide is dealt out.
+    marks = units.groupBy("mark").agg(F.count("*").alias("times")).join(near, F.col("mark") == F.col("n"), "left")
+    marks = marks.where("n IS NOT NULL OR times > 1").select(F.col("mark").alias("m"), F.coalesce("c", "mark").alias("class_id"))
+    held = materialise(units.drop("kind").join(marks, F.col("mark") == F.col("m")).drop("m", "mark"), "held")
+    classes = held.groupBy("class_id").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").withColumnRenamed("class_id", "k")
+    again = held.join(classes, F.col("class_id") == F.col("k")).drop("k").withColumn("gone", place != F.col("first"))
     # Paragraphs of a document in a row, or with no more than one short one between them, are one run.
     own = Window.partitionBy("doc_id").orderBy("start", "unit")
     before = own.rowsBetween(Window.unboundedPreceding, -1)
