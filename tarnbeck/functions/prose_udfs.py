@@ -27,6 +27,7 @@ def _udf(kind: K.DataType, f):
 
 clean_udf = _udf(TEXT, prose.clean)
 spacing_udf = _udf(TEXT, prose.markdown_spacing)
+repair_udf = _udf(TEXT, prose.repair)
 wrap_marks_udf = _udf(TEXT, prose.wrap_marks)
 wrap_words_udf = _udf(TEXT, prose.wrap_words)
 first_json_udf = _udf(TEXT, prose.first_json)

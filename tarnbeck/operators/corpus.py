@@ -105,13 +105,33 @@ def merge_chunks(parts: DataFrame, target: int, most: int, key: str = "id") -> D
     return parts.select(key, "part", "text").groupBy(key).applyInPandas(merge, f"{key} {kind}, part int, text string")
 
 
+def map_batches(rows: DataFrame, f: Callable[[pd.DataFrame], pd.DataFrame], schema: str, remove: list[str] = (), where: Column | None = None) -> DataFrame:
+    """f over batches of the rows that pass the filter; schema names what it returns, of which `remove` is left out."""
+    kept = rows if where is None else rows.where(where)
+    return kept.mapInPandas(lambda parts: (f(p) for p in parts), schema).drop(*remove)
+
+
 def ingest(docs: DataFrame, held: DataFrame, model: Callable[[pd.Series], pd.Series], size: int = 1000, overlap: int = 100) -> DataFrame:
-    """docs (id, text) -> (id, part, start, text, embedding, status). Texts whose hash another id holds already are refused, empty ones fail; statuses stand instead of exceptions."""
+    """docs (id, text) -> (id, part, start, text, embedding, status). Texts whose hash another id holds already are refused, empty ones fail, and those that the model cannot do; statuses stand instead of exceptions."""
     marked = docs.withColumn("new", F.lit(True)).unionByName(held.select("id", "text").withColumn("new", F.lit(False)))
     again = duplicates_elsewhere(marked, "text", "id").where("new").select("id").distinct()
     fresh = docs.join(again, "id", "left_anti")
-    run = F.pandas_udf(model, "array<float>")
+
+    def one(text: str) -> list[float] | None:
+        try:
+            return model(pd.Series([text])).iloc[0]
+        except Exception:  # whatever a model raises, the other texts go on
+            return None
+
+    def guarded(texts: pd.Series) -> pd.Series:
+        try:
+            return model(texts)
+        except Exception:
+            return pd.Series([one(t) for t in texts])
+
+    guarded.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    run = F.pandas_udf(guarded, "array<float>")
     parts = split_characters(fresh.where(T.strip(F.col("text")) != ""), size, overlap)
-    good = parts.withColumn("embedding", run(F.regexp_replace("text", "\n", " "))).withColumn("status", F.lit("ok"))
+    good = parts.withColumn("embedding", run(F.regexp_replace("text", "\n", " "))).withColumn("status", F.when(F.col("embedding").isNull(), "failed").otherwise("ok"))
     bad = lambda rows, why: rows.select("id", F.lit(None).cast("int").alias("part"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("array<float>").alias("embedding"), F.lit(why).alias("status"))
     return good.unionByName(bad(again, "duplicate")).unionByName(bad(fresh.where(F.coalesce(T.strip(F.col("text")), F.lit("")) == ""), "empty"))

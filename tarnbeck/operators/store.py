@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnbeck.operators.merge import insert_absent
 from tarnbeck.operators.predicates import metadata_filter
 from tarnbeck.operators.retrieval import top_k_per_query
+from tarnbeck.sources import versions
 
 SCHEMA = "id string, text string, embedding array<float>, metadata map<string,string>"
 
@@ -17,7 +16,7 @@ SCHEMA = "id string, text string, embedding array<float>, metadata map<string,st
 class VectorStore:
     """Items (id, text, embedding, metadata) of named collections under one root.
 
-    A write makes a new version aside and then renames it into place, so a reader never meets a half-written one.
+    A write makes a new version beside the old one and renames a pointer over, so a reader meets the one or the other.
     """
 
     def __init__(self, spark: SparkSession, root: str, size: int) -> None:
@@ -28,18 +27,14 @@ class VectorStore:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def has(self, name: str) -> bool:
-        fs, p = self._fs(f"{self.root}/{name}")
-        return fs.exists(p)
+        return versions.current(self.spark, f"{self.root}/{name}") is not None
 
     def all(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SCHEMA).parquet(f"{self.root}/{name}") if self.has(name) else self.spark.createDataFrame([], SCHEMA)
+        at = versions.current(self.spark, f"{self.root}/{name}")
+        return self.spark.read.schema(SCHEMA).parquet(at) if at else self.spark.createDataFrame([], SCHEMA)
 
     def _replace(self, name: str, rows: DataFrame) -> None:
-        made = f"{self.root}/_{name}-{uuid.uuid4().hex}"
-        rows.write.parquet(made)
-        fs, target = self._fs(f"{self.root}/{name}")
-        fs.delete(target, True)
-        fs.rename(self._fs(made)[1], target)
+        versions.publish(rows, f"{self.root}/{name}")
 
     def _fit(self, rows: DataFrame) -> DataFrame:
         """Vectors of another length are an error, as a column check within the plan."""
@@ -50,6 +45,18 @@ class VectorStore:
         """Rows whose id is new; others stay as they are."""
         self._replace(name, insert_absent(self.all(name), self._fit(rows), ["id"]))
 
+    def insert_batches(self, name: str, rows: DataFrame, spill: str, batches: int = 10) -> int:
+        """insert, in batches dealt by id; the rows of a batch that fails go to the folder `spill` as JSON. How many failed."""
+        failed = 0
+        for k in range(batches):
+            some = rows.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == k)
+            try:
+                self.insert(name, some)
+            except Exception:  # whatever the rows or the store raise, the other batches go on
+                some.write.mode("append").json(spill)
+                failed += 1
+        return failed
+
     def upsert(self, name: str, rows: DataFrame) -> None:
         """Whole items replaced by id; of rows with one id, one."""
         new = self._fit(rows).dropDuplicates(["id"])

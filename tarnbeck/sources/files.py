@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from tarnbeck.functions import prose_udfs
 from tarnbeck.functions import text as T
+from tarnbeck.operators.joins import pending
 
 
 def scan(spark: SparkSession, root: str) -> DataFrame:
@@ -61,24 +64,59 @@ def append_jsonl(rows: DataFrame, path: str) -> None:
 
 
 def rewrite(rows: DataFrame, path: str, keep: str | None = None) -> None:
-    """Replace a dataset: written aside, the old one kept as a version first if asked, then renamed into place."""
+    """Replace a dataset of JSON lines: written aside, the old one moved away, the new one renamed into place.
+
+    The old one is kept as a version if asked, and comes back if the last step fails. A reader that must never meet the
+    moment between the two renames reads what versions.publish writes.
+    """
     spark = rows.sparkSession
     jvm = spark.sparkContext._jvm
-    made = jvm.org.apache.hadoop.fs.Path(path + ".new")
+    aside = uuid.uuid4().hex
+    made, was = (jvm.org.apache.hadoop.fs.Path(f"{path}.{x}-{aside}") for x in ("new", "old"))
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    rows.write.mode("overwrite").json(path + ".new")
-    if fs.exists(target):
-        if keep:
-            fs.rename(target, jvm.org.apache.hadoop.fs.Path(f"{path}.v={keep}"))
-        else:
-            fs.delete(target, True)
-    fs.rename(made, target)
+    rows.write.json(made.toString())
+    if keep:
+        was = jvm.org.apache.hadoop.fs.Path(f"{path}.v={keep}")
+    there = fs.exists(target)
+    if there and not fs.rename(target, was):
+        raise OSError(f"cannot move {path} away")
+    if not fs.rename(made, target):
+        if there:
+            fs.rename(was, target)
+        raise OSError(f"cannot put the new rows at {path}")
+    if there and not keep:
+        fs.delete(was, True)
 
 
 STATE = "fid string, state string, status string, len long, encoding string, reason string"
 
 
+def save_state(state: DataFrame, path: str) -> None:
+    """The state table replaced; what the rows were read from may be the table itself."""
+    rewrite(state, path)
+
+
+def resume(files: DataFrame, path: str, work: Callable[[DataFrame], DataFrame], batch: int = 1000, rounds: int | None = None) -> int:
+    """Files (fid, ...) whose id isn't done, a batch at a time: work gives rows of the state table, which is saved after each.
+
+    A run that is broken off goes on with the batch at hand, so work is done at least once; what has failed is tried
+    again by the next call, once each call. Rounds done.
+    """
+    spark, done = files.sparkSession, 0
+    tried = load_state(spark, path).where("false").select("fid")
+    while rounds is None or done < rounds:
+        state = load_state(spark, path)
+        some = pending(files.join(tried, "fid", "left_anti"), state, batch)
+        if some.isEmpty():
+            return done
+        found = spark.createDataFrame(work(some).select(*StructType.fromDDL(STATE).names).collect(), STATE)  # a batch
+        save_state(state.join(found.select("fid"), "fid", "left_anti").unionByName(found), path)
+        tried = tried.unionByName(found.select("fid"))
+        done += 1
+    return done
+
+
 def load_state(spark: SparkSession, path: str) -> DataFrame:
     """The state table, or an empty one."""
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -86,13 +124,18 @@ def load_state(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATE).json(path) if there else spark.createDataFrame([], STATE)
 
 
-def read_tree(files: DataFrame) -> DataFrame:
-    """Scanned markdown files -> (novel_id, chunk_type, block_id, block_title, content) by their names; any block number counts."""
+def read_tree(files: DataFrame, most: int | None = None) -> DataFrame:
+    """Scanned markdown files -> (novel_id, chunk_type, block_id, block_title, content) by their names; any block number counts.
+
+    Contents are cut at `most` characters, if given, as a store's field length may ask for.
+    """
     part = F.split("rel", "/")
     name, folder = F.element_at(part, -1), F.try_element_at(part, F.lit(-2))
     kind = F.when(name == "用户消息.md", "user_request").when(name == "综述.md", "novel_summary").when(name == "段落综述.md", "block_summary").when((name == "正文.md") & folder.rlike(r"-block\d+$"), "block_content").when(name == "正文.md", "novel_content")
     block = F.when(folder.rlike(r"block\d+$"), folder)
-    return files.select(part[0].alias("novel_id"), kind.alias("chunk_type"), block.alias("block_id"), T.block_title(block).alias("block_title"), F.substring(T.strip(F.decode("content", "UTF-8")), 1, 16384).alias("content")).where("chunk_type IS NOT NULL AND content != ''")
+    content = T.strip(F.decode("content", "UTF-8"))
+    content = content if most is None else F.substring(content, 1, most)
+    return files.select(part[0].alias("novel_id"), kind.alias("chunk_type"), block.alias("block_id"), T.block_title(block).alias("block_title"), content.alias("content")).where("chunk_type IS NOT NULL AND content != ''")
 
 
 def tree_files(rows: DataFrame, key: str = "line") -> DataFrame:

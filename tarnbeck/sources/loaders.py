@@ -43,8 +43,23 @@ def _message(data: bytes) -> str:
     return f"{m['subject'] or ''}\n{body.get_content() if body else ''}".strip()
 
 
+def _sheets(data: bytes) -> str:
+    """Rows of a workbook's sheets, cells by tabs: shared and inline strings, numbers, results of formulas."""
+    local = lambda e: e.tag.rpartition("}")[2]
+    shared = ["".join(e.itertext()) for x in _members(data, r"xl/sharedStrings\.xml") for e in ElementTree.fromstring(x) if local(e) == "si"]
+    rows = []
+    for sheet in _members(data, r"xl/worksheets/sheet\d+\.xml"):
+        for row in (e for e in ElementTree.fromstring(sheet).iter() if local(e) == "row"):
+            cells = []
+            for cell in row:
+                text = "".join(t for e in cell if local(e) in ("v", "is") for t in e.itertext())
+                cells.append(shared[int(text)] if cell.get("t") == "s" and text else text)
+            rows.append("\t".join(cells))
+    return "\n".join(rows)
+
+
 LOADERS = {
-    "docx": lambda d: _zipped(d, r"word/document\.xml", ("p",)), "pptx": lambda d: _zipped(d, r"ppt/slides/slide\d+\.xml", ("p",)), "xlsx": lambda d: _zipped(d, r"xl/sharedStrings\.xml", ("si",)),
+    "docx": lambda d: _zipped(d, r"word/document\.xml", ("p",)), "pptx": lambda d: _zipped(d, r"ppt/slides/slide\d+\.xml", ("p",)), "xlsx": _sheets,
     "odt": lambda d: _zipped(d, r"content\.xml", ("p", "h")), "epub": lambda d: "\n".join(_html(x) for x in _members(d, r".*\.x?html?")), "html": _html, "htm": _html, "xml": lambda d: "\n".join(x for x in (t.strip() for t in ElementTree.fromstring(d).itertext()) if x), "eml": _message,
 }
 
@@ -59,7 +74,7 @@ def load(name: str, data: bytes) -> tuple[str, str]:
     extension = name.rpartition(".")[2].lower()
     try:
         if extension in LOADERS:
-            return prose.clean(LOADERS[extension](data)), "ok"
+            return prose.clean(prose.repair(LOADERS[extension](data))), "ok"
         ok, text, _ = prose.read_text(data)
         return (text, "ok") if ok else ("", "unsupported")
     except Exception as e:  # a broken file is a row with its reason, not a failed job
