@@ -409,6 +409,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     # Most marks stand once and are similar to none: they are left before anything wide is dealt out.
     marks = units.groupBy("mark").agg(F.count("*").alias("times")).join(near, F.col("mark") == F.col("n"), "left")
     marks = marks.where("n IS NOT NULL OR times > 1").select(F.col("mark").alias("m"), F.coalesce("c", "mark").alias("class_id"))
+    # Written, so that the join's sides are plain exchanges, of which Spark splits a common mark's part.
+    marks = materialise(marks, "marks")
     held = materialise(units.drop("kind").join(marks, F.col("mark") == F.col("m")).drop("m", "mark"), "held")
     classes = held.groupBy("class_id").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").withColumnRenamed("class_id", "k")
     again = held.join(classes, F.col("class_id") == F.col("k")).drop("k").withColumn("gone", place != F.col("first"))
