@@ -39,11 +39,9 @@ GENERATORS = [
     ("hardware_address", r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![0-9A-Za-z:])", "[0-9A-Fa-f]{2}[:-][0-9A-Fa-f]{2}"),
     ("ipv6", r"(?<![0-9A-Za-z:])(?:[0-9a-fA-F]{1,4}:){3,7}(?::?[0-9a-fA-F]{1,4}){1,4}(?![0-9A-Za-z:])", "[0-9a-fA-F]:[0-9a-fA-F]"),
     ("spelt_email", r"(?<![A-Za-z0-9._+-])[A-Za-z0-9._+-]{1,64} ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63} ?[(\[]dot[)\]] ?[A-Za-z]{2,12}(?![A-Za-z])", "[(\\[]at[)\\]]"),
-    ("secret", r"(?<![0-9A-Za-z_+/=-])[0-9A-Za-z_+/=-]{20,512}(?![0-9A-Za-z_+/=-])", "[0-9A-Za-z_+/=-]{20}"),
-    ("password", r"(?i:password|passphrase|passwd|pwd)[\"']? ?[:=] ?[\"']?[^ \t\r\n\"',;]{4,64}", "(?i)pass(?:word|phrase|wd)|pwd"),
+    ("secret", r"(?<![0-9A-Za-z_+/=-])[0-9A-Za-z_+/=-]{20,512}(?![0-9A-Za-z_+/=-])", r"(?<![0-9A-Za-z_+/=-])[0-9A-Za-z_+/=-]{20}"),
+    ("password", r"(?i:password|passphrase|passwd|pwd)[\"']? ?[:=] ?[\"']?[^ \t\r\n\"',;]{4,64}", "passw|passphrase|pwd"),
 ]
-#: Kinds that may stand in texts without a digit.
-WORDY = ("spelt_email", "password")
 KINDS = [*BASE, *(g[0] for g in GENERATORS)]
 CUES = {
     "cue_phone": r"(?i)(?:phone|tel|call|fax|mobile|cell)[^0-9A-Za-z]",
@@ -182,6 +180,13 @@ def running(sums: str) -> Column:
     return F.expr(f"transform({sums}, (s, c) -> {own} + element_at({above}, cast(c div {CHUNK} + 1 as int)))")
 
 
+def _any_of(text: Column, words: str) -> Column:
+    found = F.lit(False)
+    for w in words.split("|"):
+        found = found | text.contains(w)
+    return found
+
+
 def _luhn(digits: str) -> str:
     return f"aggregate(transform(sequence(1, length({digits})), i -> (if(i % 2 = 0, 2, 1) * int(substr({digits}, -i, 1))) div 10 + (if(i % 2 = 0, 2, 1) * int(substr({digits}, -i, 1))) % 10), 0L, (a, x) -> a + x) % 10 = 0"
 
@@ -224,7 +229,7 @@ def find(docs: DataFrame, carry: bool = False) -> DataFrame:
     df = df.withColumn("phone", F.expr("filter(phone, x -> length(regexp_replace(x.m, '[^0-9]', '')) between 9 and 15)"))
     df = df.withColumn("base", F.array_sort(F.concat("email", "ip", "card", "phone")))
     for i, (kind, pattern, gate) in enumerate(GENERATORS):
-        df = _spans(df, f"c_{kind}", text, pattern, (text.contains("at") & text.rlike(gate)) if kind == "spelt_email" else text.rlike(gate) if kind in WORDY else F.col("_digit") & text.rlike(gate), len(BASE) + i)
+        df = _spans(df, f"c_{kind}", text, pattern, (text.contains("at") & text.rlike(gate)) if kind == "spelt_email" else _any_of(F.lower(text), gate) if kind == "password" else F.col("_digit") & text.rlike(gate), len(BASE) + i)
     trees, threshold = model()
     score = " + ".join(_tree_sql(t, [f"f[{j}]" for j in range(len(FEATURES))]) for t in trees)
     vector = ", ".join(f"cast({x} as double)" for x in _features("x.k", "x.m", "b"))
