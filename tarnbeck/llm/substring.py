@@ -124,17 +124,24 @@ def _words(raw: np.ndarray, low: np.ndarray, firsts: np.ndarray, low_firsts: np.
             p, q = (power, inverse) if b - a <= size else (_powers(_BASE, b - a), _powers(_INVERSE, b - a))
             at = first[i:j] - a
             hashes[i:j] = np.add.reduceat(letters[a:b] * p[: b - a], at) * q[at]
-    points = np.concatenate([[0], np.cumsum(leads)])
     text = np.searchsorted(firsts, own[0], side="right") - 1
+    points = _counts(leads) if not leads.all() else np.arange(len(raw) + 1, dtype=np.int32)
     base = points[np.minimum(firsts, len(raw))][text]
     after = np.append(first[1:], len(low))
-    between = lambda flags: (c := np.concatenate([[0], np.cumsum(flags)]))[after] - c[last + 1] > 0
+    between = lambda flags: (c := _counts(flags))[after] > c[last + 1]
     ends = np.ones(n, dtype=bool)
     ends[:-1] = text[1:] != text[:-1]
     bounds = np.searchsorted(text, np.arange(len(firsts) + 1))
     return _Words(_mix(hashes), text, points[own[0]] - base, points[own[1]] - base, between(stop_at), between(line_at) | ends, bounds)
 
 
+def _counts(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place, and in all."""
+    out = np.zeros(len(flags) + 1, dtype=np.int32)
+    np.cumsum(flags, dtype=np.int32, out=out[1:])
+    return out
+
+
 def _cores(raw: np.ndarray, firsts: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
     """((first, last byte between the edges) of each word, stops, line ends, (first byte, last exclusive) of each word)."""
     kind, stop = _KIND[raw], _STOP[raw]
@@ -253,42 +260,58 @@ def _rank(text: np.ndarray) -> np.ndarray:
     return np.arange(len(text)) - np.searchsorted(text, text)
 
 
-_UNIT_NAMES = ["doc_id", "unit", "start", "end", "words", "mark", "word", "total", "kind"]
-_UNIT_TYPES = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int8())
+BAND_KEYS = [f"b{i}" for i in range(BANDS)]
+_UNIT_TYPES = {"doc_id": "long", "unit": "int", "start": "int", "end": "int", "words": "int", "mark": "long", "word": "int", "total": "int", "kind": "byte"} | dict.fromkeys(BAND_KEYS, "long")
+UNIT_SCHEMA = ", ".join(f"{k} {v}" for k, v in _UNIT_TYPES.items())
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "byte": pa.int8()}
+
 
+def _units(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Sentences, short documents as wholes, and windows; of each its first word, and a short document's words.
 
-def _units(batch: pa.RecordBatch, every: bool) -> Iterator[pa.RecordBatch]:
-    """Sentences; if every, also short documents as wholes and windows, and of each its first word, and a short document's words."""
+    A sentence of BAND_WORDS words or more has its band keys where its mark stands first in a slice of texts, else nulls.
+    """
     for i, j, w in _laid_out(batch.column(1)):
+        if not len(w.hashes):
+            continue
         a, b = _sentences(w)
         sizes = np.diff(w.bounds)
-        parts = [(a, b, _rank(w.text[a]), w.marks(a, b, SENTENCE), SENTENCE)]
-        if every and len(w.hashes):
-            count = np.bincount(w.text[a], minlength=j - i)
-            small = np.nonzero((sizes > 0) & (sizes < RUN_WORDS))[0]
-            parts.append((w.bounds[small], w.bounds[small + 1], count[small], w.marks(w.bounds[small], w.bounds[small + 1], WHOLE), WHOLE))
-            at, marks = _winnowed(w)
-            parts.append((at, at + RUN_WORDS, count[w.text[at]] + _rank(w.text[at]), marks, WINDOW))
+        count = np.bincount(w.text[a], minlength=j - i)
+        small = np.nonzero((sizes > 0) & (sizes < RUN_WORDS))[0]
+        at, found = _winnowed(w)
+        sentences = w.marks(a, b, SENTENCE)
+        parts = [
+            (a, b, _rank(w.text[a]), sentences, SENTENCE),
+            (w.bounds[small], w.bounds[small + 1], count[small], w.marks(w.bounds[small], w.bounds[small + 1], WHOLE), WHOLE),
+            (at, at + RUN_WORDS, count[w.text[at]] + _rank(w.text[at]), found, WINDOW),
+        ]
         for first, last, unit, mark, kind in parts:
             text = w.text[first]
             total = sizes[text]
             columns = [
                 batch.column(0).take(pa.array(i + text)), unit, w.start[first], w.end[last - 1], last - first, mark.view(np.int64), first - w.bounds[text],
-                pa.array(total, pa.int32(), mask=total >= RUN_WORDS), np.full(len(first), kind),
+                pa.array(total, pa.int32(), mask=total >= RUN_WORDS), np.full(len(first), kind), *_keys(w, a, b, sentences, kind, len(first)),
             ]
             arrays = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in columns]
-            n = len(_UNIT_NAMES) if every else 6
-            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(arrays, _UNIT_TYPES, strict=True)][:n], names=_UNIT_NAMES[:n])
+            yield pa.RecordBatch.from_arrays([c.cast(_ARROW[t]) for c, t in zip(arrays, _UNIT_TYPES.values(), strict=True)], names=list(_UNIT_TYPES))
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield from _units(batch, False)
+def _keys(w: _Words, a: np.ndarray, b: np.ndarray, marks: np.ndarray, kind: int, n: int) -> list[pa.Array]:
+    """The columns BAND_KEYS of a kind of n units."""
+    long_ = np.nonzero(b - a >= BAND_WORDS)[0]
+    if kind != SENTENCE or not len(long_):
+        return [pa.nulls(n, pa.int64())] * BANDS
+    once = long_[np.unique(marks[long_], return_index=True)[1]]
+    keys = np.zeros((BANDS, n), dtype=np.uint64)
+    keys[:, once] = bands(w.hashes, a[once], b[once]).T
+    mask = np.ones(n, dtype=bool)
+    mask[once] = False
+    return [pa.array(k.view(np.int64), mask=mask) for k in keys]
 
 
-def _occurrences_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from _units(batch, True)
+        yield from _units(batch)
 
 
 _MULTIPLY = np.random.default_rng(2024).integers(1 << 62, size=(BANDS * ROWS,), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -313,18 +336,6 @@ def bands(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return keys
 
 
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, _, w in _laid_out(batch.column(0)):
-            a, b = _sentences(w)
-            long_ = b - a >= BAND_WORDS
-            a, b = a[long_], b[long_]
-            marks, once = np.unique(w.marks(a, b, SENTENCE), return_index=True)
-            if len(marks):
-                keys = bands(w.hashes, a[once], b[once])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(marks.view(np.int64), BANDS))], names=["band", "mark"])
-
-
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -363,15 +374,17 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, units: DataFrame) -> DataFrame:
-    """(a, b): marks of different paragraphs that are similar."""
-    rows = in_batches(docs.select(F.col("text").cast("string"))).mapInArrow(_banded, "band long, mark long").repartition("band")
+    """(a, b): marks of different paragraphs that are similar; units are sentences with their band keys."""
+    banded = units.where(F.col(BAND_KEYS[0]).isNotNull())
+    rows = banded.select(F.explode(F.array(*BAND_KEYS)).alias("band"), "mark").repartition("band")
     least = rows.groupBy("band").agg(F.min("mark").alias("hub"), F.max("mark").alias("other")).where("hub != other").withColumnRenamed("band", "b2")
-    # A band's rows where different paragraphs meet; each paragraph once.
-    met = materialise(rows.join(least, F.col("band") == F.col("b2")).select("band", "mark", "hub").distinct(), "bands")
+    # A band's rows where different paragraphs meet; each paragraph once. A band stands once among the least, and few
+    # bands do, so a part's hash table stays small and the rows need no sort.
+    met = materialise(rows.join(least.hint("shuffle_hash"), F.col("band") == F.col("b2")).select("band", "mark", "hub").distinct(), "bands")
     needed = met.select("mark").distinct()
-    # A common mark's places are added up before they meet what is needed of them.
-    first = units.where(F.col("words") >= BAND_WORDS).groupBy("mark").agg(F.min(F.struct("doc_id", "start", "end")).alias("at"))
-    first = first.join(needed, "mark", "left_semi").select("mark", "at.*")
+    # A mark has band keys once in a slice, so a common one has no more places here than there are slices.
+    first = banded.select("mark", "doc_id", "start", "end").join(needed, "mark", "left_semi")
+    first = first.groupBy("mark").agg(F.min(F.struct("doc_id", "start", "end")).alias("at")).select("mark", "at.*")
     whole = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("whole"))
     texts = whole.join(first, F.col("id") == F.col("doc_id")).select("mark", F.expr("substring(whole, start + 1, end - start)").alias("text"))
     parts = [f"s{i}" for i in range(SKETCH // 64)]
@@ -403,7 +416,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     docs = docs.where("doc_id IS NOT NULL")
     read = in_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    units = materialise(read.mapInArrow(_occurrences_all, "doc_id long, unit int, start int, end int, words int, mark long, word int, total int, kind byte"), "paragraphs")
+    units = materialise(read.mapInArrow(_occurrences, UNIT_SCHEMA), "paragraphs")
     near = materialise(components(links(docs, units.where(F.col("kind") == SENTENCE))).select(F.col("node").alias("n"), F.col("component").alias("c")), "classes")
     place = F.struct("doc_id", "unit")
     # Most marks stand once and are similar to none: they are left before anything wide is dealt out.
@@ -411,7 +424,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     marks = marks.where("n IS NOT NULL OR times > 1").select(F.col("mark").alias("m"), F.coalesce("c", "mark").alias("class_id"))
     # Written, so that the join's sides are plain exchanges, of which Spark splits a common mark's part.
     marks = materialise(marks, "marks")
-    held = materialise(units.drop("kind").join(marks, F.col("mark") == F.col("m")).drop("m", "mark"), "held")
+    # A mark stands once among them, so no key swells a part's hash table, and the units need no sort.
+    held = materialise(units.drop("kind", *BAND_KEYS).join(marks.hint("shuffle_hash"), F.col("mark") == F.col("m")).drop("m", "mark"), "held")
     classes = held.groupBy("class_id").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").withColumnRenamed("class_id", "k")
     again = held.join(classes, F.col("class_id") == F.col("k")).drop("k").withColumn("gone", place != F.col("first"))
     # Paragraphs of a document in a row, or with no more than one short one between them, are one run.

@@ -313,7 +313,7 @@ def test_substring_links_against_brute_force(spark):
     docs = spark.createDataFrame([(i, " ".join(v) + ".") for i, v in enumerate(variants)], "doc_id long, text string")
     from tarnbeck.llm.common import materialise
 
-    units = materialise(docs.mapInArrow(substring._occurrences, "doc_id long, unit int, start int, end int, words int, mark long"), "u")
+    units = materialise(docs.mapInArrow(substring._occurrences, substring.UNIT_SCHEMA).where(f"kind = {substring.SENTENCE}"), "u")
     marks = {x.doc_id: x.mark for x in units.collect()}
     found = {tuple(sorted(x)) for x in substring.links(docs, units).collect()}
     sets = {marks[i]: substring.shingles(v) for i, v in enumerate(variants)}
