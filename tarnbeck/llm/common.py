@@ -43,6 +43,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return found
 
 
+#: Spark removes a query's shuffle files as the query ends, not whenever the driver next collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise_lean(df: DataFrame, name: str) -> DataFrame:
+    """As materialise; the write's shuffle files go as it ends. The setting holds for this write alone."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return materialise(df, name)
+    finally:
+        if before is None:
+            conf.unset(_CLEANUP)
+        else:
+            conf.set(_CLEANUP, before)
+
+
 def discard(df: DataFrame) -> None:
     """Deletes what materialise wrote for df, which must not be read again."""
     path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.folder)
@@ -107,7 +125,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star steps; each joins a node's links with its smallest neighbour, so no group is
     gathered, and a hub's links are split by the skew join. Ends when a round changes nothing. Loops and nulls in the
-    links are ignored; nodes without links are absent.
+    links are ignored; nodes without links are absent. The result is read from one folder, which discard deletes.
     """
     links = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "links")
     mark = None
@@ -125,4 +143,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         mark = seen
     found = links.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
-    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+    out = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+    out.folder = links.folder
+    return out

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarnbeck.llm.common import buffers, components, in_batches, mark_sequences, materialise, slices, table
+from tarnbeck.llm.common import buffers, components, discard, in_batches, mark_sequences, materialise_lean, slices, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -373,14 +373,17 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_similar, "a long, b long")
 
 
-def links(docs: DataFrame, units: DataFrame) -> DataFrame:
-    """(a, b): marks of different paragraphs that are similar; units are sentences with their band keys."""
+def links(docs: DataFrame, units: DataFrame, made: list[DataFrame] | None = None) -> DataFrame:
+    """(a, b): marks of different paragraphs that are similar; units are sentences with their band keys.
+
+    made gets the tables that the result is read from, to be discarded once it was read.
+    """
     banded = units.where(F.col(BAND_KEYS[0]).isNotNull())
     rows = banded.select(F.explode(F.array(*BAND_KEYS)).alias("band"), "mark").repartition("band")
     least = rows.groupBy("band").agg(F.min("mark").alias("hub"), F.max("mark").alias("other")).where("hub != other").withColumnRenamed("band", "b2")
     # A band's rows where different paragraphs meet; each paragraph once. A band stands once among the least, and few
     # bands do, so a part's hash table stays small and the rows need no sort.
-    met = materialise(rows.join(least.hint("shuffle_hash"), F.col("band") == F.col("b2")).select("band", "mark", "hub").distinct(), "bands")
+    met = materialise_lean(rows.join(least.hint("shuffle_hash"), F.col("band") == F.col("b2")).select("band", "mark", "hub").distinct(), "bands")
     needed = met.select("mark").distinct()
     # A mark has band keys once in a slice, so a common one has no more places here than there are slices.
     first = banded.select("mark", "doc_id", "start", "end").join(needed, "mark", "left_semi")
@@ -388,8 +391,8 @@ def links(docs: DataFrame, units: DataFrame) -> DataFrame:
     whole = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("whole"))
     texts = whole.join(first, F.col("id") == F.col("doc_id")).select("mark", F.expr("substring(whole, start + 1, end - start)").alias("text"))
     parts = [f"s{i}" for i in range(SKETCH // 64)]
-    texts = materialise(texts.dropDuplicates(["mark"]).mapInArrow(_sketched, "mark long, text string, " + ", ".join(f"{c} long" for c in parts)), "texts")
-    found = materialise(_verified(met.where("mark != hub").select(F.col("hub").alias("a"), F.col("mark").alias("b")).distinct(), texts), "links")
+    texts = materialise_lean(texts.dropDuplicates(["mark"]).mapInArrow(_sketched, "mark long, text string, " + ", ".join(f"{c} long" for c in parts)), "texts")
+    found = materialise_lean(_verified(met.where("mark != hub").select(F.col("hub").alias("a"), F.col("mark").alias("b")).distinct(), texts), "links")
     # What isn't similar to its band's least meets all of the band; bands of two have nothing more to meet.
     linked = found.select(F.col("a").alias("hub"), F.col("b").alias("mark"))
     rest = met.where("mark != hub").join(linked, ["hub", "mark"], "left_anti").select("band", "mark")
@@ -403,6 +406,8 @@ def links(docs: DataFrame, units: DataFrame) -> DataFrame:
     for c in parts:
         apart = apart + F.bit_count(F.col(f"a{c}").bitwiseXOR(F.col(f"b{c}")))
     more = left.join(right, (F.col("band") == F.col("b2")) & (F.col("a") != F.col("b")) & (~F.col("late") | (F.col("a") < F.col("b"))) & (apart <= SKETCH_DIFFERENT))
+    if made is not None:
+        made += [met, texts, found]
     return found.unionByName(_verified(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts))
 
 
@@ -416,16 +421,24 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     docs = docs.where("doc_id IS NOT NULL")
     read = in_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    units = materialise(read.mapInArrow(_occurrences, UNIT_SCHEMA), "paragraphs")
-    near = materialise(components(links(docs, units.where(F.col("kind") == SENTENCE))).select(F.col("node").alias("n"), F.col("component").alias("c")), "classes")
+    units = materialise_lean(read.mapInArrow(_occurrences, UNIT_SCHEMA), "paragraphs")
+    made: list[DataFrame] = []
+    joined = components(links(docs, units.where(F.col("kind") == SENTENCE), made))
+    # What was read for the last time goes at once, so that what stands on disk at a time doesn't add up.
+    for x in made:
+        discard(x)
+    near = materialise_lean(joined.select(F.col("node").alias("n"), F.col("component").alias("c")), "classes")
+    discard(joined)
     place = F.struct("doc_id", "unit")
     # Most marks stand once and are similar to none: they are left before anything wide is dealt out.
     marks = units.groupBy("mark").agg(F.count("*").alias("times")).join(near, F.col("mark") == F.col("n"), "left")
     marks = marks.where("n IS NOT NULL OR times > 1").select(F.col("mark").alias("m"), F.coalesce("c", "mark").alias("class_id"))
     # Written, so that the join's sides are plain exchanges, of which Spark splits a common mark's part.
-    marks = materialise(marks, "marks")
+    marks = materialise_lean(marks, "marks")
     # A mark stands once among them, so no key swells a part's hash table, and the units need no sort.
-    held = materialise(units.drop("kind", *BAND_KEYS).join(marks.hint("shuffle_hash"), F.col("mark") == F.col("m")).drop("m", "mark"), "held")
+    held = materialise_lean(units.drop("kind", *BAND_KEYS).join(marks.hint("shuffle_hash"), F.col("mark") == F.col("m")).drop("m", "mark"), "held")
+    for x in (units, near, marks):
+        discard(x)
     classes = held.groupBy("class_id").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").withColumnRenamed("class_id", "k")
     again = held.join(classes, F.col("class_id") == F.col("k")).drop("k").withColumn("gone", place != F.col("first"))
     # Paragraphs of a document in a row, or with no more than one short one between them, are one run.

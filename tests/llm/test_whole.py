@@ -1,9 +1,11 @@
 """Cases that the corpus operators once left out."""
 
+import os
 import random
 import re
 
 from tarnbeck.llm import decontaminate, licenses, packing, substring
+from tarnbeck.llm.common import shared_folder
 
 
 def test_token_ids_where_spaces_cancel():
@@ -105,6 +107,20 @@ def test_short_documents_and_edited_copies(spark):
     assert sorted((x.doc_id, x.n_words, x.removed) for x in found if x.doc_id > 3) == [(4, 10, False)] * 6 + [(5, 10, True)] * 6
 
 
+def test_op1_leaves_only_what_its_result_reads(spark):
+    r = random.Random(17)
+    passages = [_plain(r, 51) for _ in range(20)]
+    rows = [(2 * i + k, f"{_plain(r, 60)} {p}. {_plain(r, 60)}") for i, p in enumerate(passages) for k in range(2)]
+    shared = shared_folder(spark).removeprefix("file://")
+    before, setting = set(os.listdir(shared)), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    mode = spark.conf.get(setting)
+    found = substring.repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted({x.split("-")[0] for x in os.listdir(shared) if x not in before and not x.startswith(".")}) == ["held"]
+    assert spark.conf.get(setting) == mode
+    assert {x.doc_id for x in found.collect()} == {d for d, _ in rows}
+    assert sorted(found.collect()) == sorted(found.collect())
+
+
 def test_repeats_inside_one_document(spark):
     r = random.Random(16)
     line = _plain(r, 20) + "."
